@@ -116,38 +116,38 @@ QUERIES = {
 }
 
 
-def _sql_key(c: str) -> str:
+def sql_key(c: str) -> str:
     """SQL of work_key."""
     blank = "chr(9) || chr(10) || chr(13) || ' '"
     return rf"nullif(trim(regexp_replace(lower(trim({c}, {blank})), '^((info:|urn:)?doi[\s:/]+)+', ''), {blank}), '')"
 
 
-def _sql_canonical(c: str) -> str:
-    k = _sql_key(c)
+def sql_canonical(c: str) -> str:
+    k = sql_key(c)
     return f"CASE WHEN starts_with({k}, '10.48550/arxiv.') THEN '10.48550/arXiv.' || substr({k}, 16) ELSE {k} END"
 
 
 _COUNTS = f"""
 WITH t AS (SELECT run_id, cited_id, CAST(count(*) AS BIGINT) AS true_count FROM (
-    SELECT DISTINCT run_id, {_sql_canonical("cited_id")} AS cited_id, lower(citing_doi) AS c, ref_index FROM partition_rows) x
+    SELECT DISTINCT run_id, {sql_canonical("cited_id")} AS cited_id, lower(citing_doi) AS c, ref_index FROM partition_rows) x
   WHERE cited_id IS NOT NULL GROUP BY run_id, cited_id),
 r AS (SELECT run_id, cited_id, citation_count AS reported_count FROM (
     SELECT run_id, cited_id, citation_count, row_number() OVER (PARTITION BY run_id, cited_id ORDER BY produced_at DESC, record_no DESC) AS k
-    FROM (SELECT run_id, citation_count, produced_at, record_no, {_sql_canonical("doi")} AS cited_id FROM cited_records) y WHERE cited_id IS NOT NULL) z WHERE k = 1),
+    FROM (SELECT run_id, citation_count, produced_at, record_no, {sql_canonical("doi")} AS cited_id FROM cited_records) y WHERE cited_id IS NOT NULL) z WHERE k = 1),
 counts AS (SELECT run_id, cited_id, coalesce(true_count, 0) AS true_count, reported_count FROM t FULL JOIN r USING (run_id, cited_id))
 """
-_TOP = f"SELECT {{}} FROM (SELECT {_sql_canonical('cited_id')} AS cited_id, CAST(count(*) AS BIGINT) AS n FROM merge_rows GROUP BY 1) x WHERE cited_id IS NOT NULL ORDER BY n DESC, cited_id LIMIT 20"
+_TOP = f"SELECT {{}} FROM (SELECT {sql_canonical('cited_id')} AS cited_id, CAST(count(*) AS BIGINT) AS n FROM merge_rows GROUP BY 1) x WHERE cited_id IS NOT NULL ORDER BY n DESC, cited_id LIMIT 20"
 _ORPHANS = f"""
 WITH p AS (SELECT key, registered_at, removed_at FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY delivered_at DESC, record_no DESC) AS k
-    FROM (SELECT record_no, registered_at, removed_at, delivered_at, {_sql_key("id")} AS key FROM id_records) x WHERE key IS NOT NULL) y WHERE k = 1),
-c AS (SELECT 'merge_rows' AS src_table, {_sql_key("cited_id")} AS key, written_at, row_no FROM merge_rows
-  UNION ALL SELECT 'partition_rows', {_sql_key("cited_id")}, written_at, row_no FROM partition_rows),
+    FROM (SELECT record_no, registered_at, removed_at, delivered_at, {sql_key("id")} AS key FROM id_records) x WHERE key IS NOT NULL) y WHERE k = 1),
+c AS (SELECT 'merge_rows' AS src_table, {sql_key("cited_id")} AS key, written_at, row_no FROM merge_rows
+  UNION ALL SELECT 'partition_rows', {sql_key("cited_id")}, written_at, row_no FROM partition_rows),
 lost AS (SELECT src_table, strftime(written_at, '%Y-%m') AS period_ym, row_no FROM c WHERE key IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM p WHERE p.key = c.key AND p.registered_at <= c.written_at AND (p.removed_at IS NULL OR p.removed_at > c.written_at)))
 """
 _DAYS = f"""
 WITH d AS (SELECT snapshot_day, lag(snapshot_day) OVER (ORDER BY snapshot_day) AS before FROM (SELECT DISTINCT snapshot_day FROM item_snapshots) x),
-w AS (SELECT DISTINCT snapshot_day, regexp_replace({_sql_key("doi")}, '\\s+', '', 'g') AS doi FROM item_snapshots WHERE {_sql_key("doi")} IS NOT NULL)
+w AS (SELECT DISTINCT snapshot_day, regexp_replace({sql_key("doi")}, '\\s+', '', 'g') AS doi FROM item_snapshots WHERE {sql_key("doi")} IS NOT NULL)
 SELECT d.snapshot_day, w.doi, 'added' AS change_type FROM d JOIN w ON w.snapshot_day = d.snapshot_day WHERE before IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM w v WHERE v.snapshot_day = d.before AND v.doi = w.doi)
 UNION ALL SELECT d.snapshot_day, w.doi, 'removed' FROM d JOIN w ON w.snapshot_day = d.before
@@ -155,13 +155,24 @@ UNION ALL SELECT d.snapshot_day, w.doi, 'removed' FROM d JOIN w ON w.snapshot_da
 """
 _JOINED = f"""
 SELECT l.run_id, l.provenance, CAST(count(*) AS BIGINT) AS n_pairs, CAST(sum(citation_count) AS BIGINT) AS sum_reported
-FROM (SELECT run_id, provenance, {_sql_canonical("cited_id")} AS work FROM partition_rows) l
-JOIN (SELECT run_id, citation_count, {_sql_canonical("doi")} AS work FROM cited_records) r ON l.run_id = r.run_id AND l.work = r.work
+FROM (SELECT run_id, provenance, {sql_canonical("cited_id")} AS work FROM partition_rows) l
+JOIN (SELECT run_id, citation_count, {sql_canonical("doi")} AS work FROM cited_records) r ON l.run_id = r.run_id AND l.work = r.work
 GROUP BY l.run_id, l.provenance
 """
 
-#: p3 and p5_found have none: SQL engines differ in what JSON they accept. They are tested against brute force.
+_NESTED = """
+WITH f AS (SELECT record_no, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM work_files),
+i AS (SELECT record_no, item_pos, json_extract(j, '$.items[' || item_pos || ']') AS item FROM (
+  SELECT record_no, j, CAST(unnest(range(CAST(json_array_length(j, '$.items') AS BIGINT))) AS INTEGER) AS item_pos FROM f WHERE json_type(j, '$.items') = 'ARRAY') x),
+r AS (SELECT record_no, item_pos, ref_pos, json_extract(item, '$.reference[' || ref_pos || ']') AS ref FROM (
+  SELECT record_no, item_pos, item, CAST(unnest(range(CAST(json_array_length(item, '$.reference') AS BIGINT))) AS INTEGER) AS ref_pos FROM i WHERE json_type(item, '$.reference') = 'ARRAY') y),
+n AS (SELECT unnest(['doi-asserted-by', 'unstructured']) AS field_name)
+SELECT record_no, item_pos, ref_pos, field_name FROM r, n WHERE json_type(ref) = 'OBJECT' AND json_type(ref, '$."' || field_name || '"') = 'VARCHAR'
+"""
+
+#: The tables of p3 and p5_found have none, as SQL can't compare JSON values or hash shapes. They are tested against brute force.
 ORACLE = {
+    "p3_found": _NESTED,
     "p1_citation_counts": _COUNTS + "SELECT * FROM counts",
     "p1_found": _COUNTS + "SELECT run_id, cited_id FROM counts WHERE reported_count IS NULL OR reported_count <> true_count",
     "p1_join_totals": _JOINED,
