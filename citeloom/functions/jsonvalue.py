@@ -9,22 +9,25 @@ from decimal import Decimal, InvalidOperation
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Digest of the empty list and all that counts as it.
 EMPTY = 0
 
 
-def strict_variant(c: Column) -> Column:
-    """The VARIANT of a JSON text that is valid as a whole, else NULL.
+def with_variant(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """df with the column out: the VARIANT of a JSON text that is valid as a whole, else NULL.
 
     try_parse_json stops after the first value and so accepts text behind it. Here the text is put into an object
-    before a member that holds its own hash, which is found only if the text ended where its value did.
+    before a member that holds its own hash, which is found only if the text ended where its value did. The parse is
+    behind a generator of one row: filters and projections on out can't be pulled below it and repeat the parse.
     """
-    mark = F.hex(F.xxhash64(c))
-    whole = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit(',"end":"'), mark, F.lit('"}')))
-    return F.when(F.try_variant_get(whole, "$.end", "string") == mark, F.try_variant_get(whole, "$.v", "variant"))
+    mark = F.hex(F.xxhash64(text))
+    whole = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":"'), mark, F.lit('"}')))
+    once = df.select("*", mark.alias("__mark"), F.explode(F.array(whole)).alias("__whole"))
+    ended = F.try_variant_get("__whole", "$.end", "string") == F.col("__mark")
+    return once.withColumn(out, F.when(ended, F.try_variant_get("__whole", "$.v", "variant"))).drop("__mark", "__whole")
 
 
 def _number(text: str) -> object:

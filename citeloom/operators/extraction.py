@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.arxiv import arxiv_dois, likely_arxiv
-from citeloom.functions.jsonvalue import strict_variant
+from citeloom.functions.jsonvalue import with_variant
 from citeloom.functions.references import FIELDS, has_searchable_content, is_other_work, provenance, provenance_allowed, search_text
 
 
@@ -36,7 +36,7 @@ def parse_files(files: DataFrame, name: str = "file_name", value: str = "value")
     A document fails as a whole if it is not JSON, not an object, or if items, an item, its DOI or its list of references
     has a wrong type; null counts as wrong for the lists. Absent lists are empty.
     """
-    doc = files.select(F.col(name).alias("file_name"), strict_variant(F.col(value)).alias("v"))
+    doc = with_variant(files.select(F.col(name).alias("file_name"), F.col(value).alias("value")), F.col("value"), "v")
     doc = doc.select("file_name", "v", _at(F.col("v"), "items", "array<variant>").alias("items"))
     fine = _is_object(F.col("v")) & _absent_or_list(F.col("v"), "items") & F.coalesce(F.forall("items", lambda i: _is_object(i) & _absent_or_text(i, "DOI") & _absent_or_list(i, "reference")), F.lit(True))
     return doc.select("file_name", "items", (~F.coalesce(fine, F.lit(False))).alias("parse_failed"))
@@ -54,7 +54,9 @@ def explode_references(items: DataFrame) -> DataFrame:
     fine = _is_object(F.col("ref"))
     for field in FIELDS.values():
         fine = fine & _absent_or_text(F.col("ref"), field)
-    return each.select("*", *(_at(F.col("ref"), f, "string").alias(c) for c, f in FIELDS.items()), F.coalesce(fine, F.lit(False)).alias("parseable"))
+    read = F.struct(*(_at(F.col("ref"), f, "string").alias(c) for c, f in FIELDS.items()), F.coalesce(fine, F.lit(False)).alias("parseable"))
+    # a generator of one row: later filters can't be pulled below it, where they would read the fields again
+    return each.select("*", F.explode(F.array(read)).alias("f")).select("file_name", "item_pos", "citing_doi", "ref_index", "ref", "f.*")
 
 
 def match_references(references: DataFrame) -> DataFrame:

@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.jsonvalue import strict_variant
+from citeloom.functions.jsonvalue import with_variant
+
+
+def _ids(lines: DataFrame, value: str) -> DataFrame:
+    return with_variant(lines.select(F.col(value).alias("value")), F.col("value"), "v").select(F.try_variant_get("v", "$.id", "variant").alias("i"))
 
 
 def registry_ids(lines: DataFrame, value: str = "value") -> DataFrame:
     """(id): distinct lower-case ids of JSON lines; lines without a string id, or not JSON, are skipped, empty ids too."""
-    own = F.try_variant_get(strict_variant(F.col(value)), "$.id", "variant").alias("i")
-    found = lines.select(own).where((F.schema_of_variant("i") == "STRING") & F.col("i").isNotNull())
+    found = _ids(lines, value).where((F.schema_of_variant("i") == "STRING") & F.col("i").isNotNull())
     return index_of(found.select(F.try_variant_get("i", "$", "string").alias("id")), "id")
 
 
 def registry_stats(lines: DataFrame, value: str = "value") -> DataFrame:
     """One row: lines, lines_skipped, ids (distinct)."""
-    own = F.try_variant_get(strict_variant(F.col(value)), "$.id", "variant").alias("i")
-    each = lines.select(own).select(F.when(F.schema_of_variant("i") == "STRING", F.try_variant_get("i", "$", "string")).alias("id"))
+    each = _ids(lines, value).select(F.when(F.schema_of_variant("i") == "STRING", F.try_variant_get("i", "$", "string")).alias("id"))
     return each.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("id").isNull()).alias("lines_skipped"), F.countDistinct(F.nullif(F.lower("id"), F.lit(""))).alias("ids"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.arxiv import ARXIV_LEAD, ARXIV_PATTERN, FLAGS, arxiv_doi, arxiv_ids, likely_arxiv, normalize_arxiv_id, partition_key
 from citeloom.functions.ids import canonical_work_id, work_key
-from citeloom.functions.jsonvalue import strict_variant
+from citeloom.functions.jsonvalue import with_variant
 from citeloom.functions.references import FIELDS, PROVENANCES, provenance_allowed, provenance_rank, search_text
 from citeloom.operators import coverage
 from citeloom.operators.extraction import candidate_citations, citation_rows, explode_items, explode_references, extraction_stats, match_references, parse_files
@@ -216,8 +216,8 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Citation pairs of the published records, in the shape of sampled pairs."""
     each = table(spark, sf_dir, "cited_records").select(work_key(F.col("doi")).alias("work"), canonical_work_id(F.col("doi")).alias("arxiv_doi"), F.explode("cited_by").alias("c")).where("work LIKE '10.48550/arxiv.%'")
-    ref = F.when(F.col("c.reference").isNotNull(), strict_variant(F.col("c.reference")))
-    return each.select(
+    ref = F.col("ref")
+    return with_variant(each, F.col("c.reference"), "ref").select(
         coverage.bare_doi(F.col("c.doi")).alias("citing_doi"), F.substring("work", 16, 1000).alias("arxiv_id"), "arxiv_doi",
         F.when(F.col("c.provenance").isin("publisher", "crossref"), "asserted").otherwise("mined").alias("source"), F.lit("").alias("raw_match"),
         F.try_variant_get(ref, "$.DOI", "variant").isNotNull().alias("has_structured_doi_in_source"),
@@ -226,7 +226,7 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "partition_rows").select(F.lower("citing_doi").alias("doi"), F.col("ref_index").alias("ref_pos"), strict_variant(F.col("ref_json")).alias("r"))
+    rows = with_variant(table(spark, sf_dir, "partition_rows").select(F.lower("citing_doi").alias("doi"), F.col("ref_index").alias("ref_pos"), "ref_json"), F.col("ref_json"), "r")
     field = lambda f: F.try_variant_get("r", f"$['{f}']", "string")
     return rows.select("doi", "ref_pos", field("key").alias("key"), field("DOI").alias("ref_doi"), field("unstructured").alias("unstructured"), field("article-title").alias("article_title"), field("journal-title").alias("journal_title"), field("volume-title").alias("volume_title"))
 
