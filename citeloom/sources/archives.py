@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import gzip
 import os
 import tarfile
 from collections.abc import Iterator
@@ -31,10 +32,12 @@ class ArchiveReader(DataSourceReader):
 
     def read(self, partition: ArchivePart) -> Iterator[tuple[str, str]]:
         """Members whose path ends in .json, streamed in their order; a damaged archive fails the task."""
-        with tarfile.open(partition.path, mode="r|gz") as archive:
+        with gzip.open(partition.path) as plain, tarfile.open(fileobj=plain, mode="r|") as archive:
             for member in archive:
                 if member.isfile() and member.name.endswith(".json"):
                     yield member.name, archive.extractfile(member).read().decode("utf-8", "replace")
+            while plain.read(1 << 20):  # to the end, where a cut is noticed
+                pass
 
 
 class ArchiveSource(DataSource):
