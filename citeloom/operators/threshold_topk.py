@@ -50,7 +50,7 @@ def node_counts(df: DataFrame, item: Column, k: int, chunk_rows: int = CHUNK_ROW
 
         for batch in batches:
             for start in range(0, batch.num_rows, chunk_rows):
-                part = batch.column(0).slice(start, chunk_rows)
+                part = batch.column(0).slice(start, chunk_rows).drop_null()
                 if rows and rows + len(part) > chunk_rows:
                     yield flush()
                     held, rows, seq = [], 0, seq + 1
@@ -59,7 +59,7 @@ def node_counts(df: DataFrame, item: Column, k: int, chunk_rows: int = CHUNK_ROW
         if rows:
             yield flush()
 
-    values = df.select(item.cast("string").alias("item")).where("item IS NOT NULL")
+    values = df.select(item.cast("string").alias("item"))  # NULLs are dropped above: a filter would evaluate item twice
     return values.mapInArrow(count, "node bigint, item string, n bigint, lead boolean")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions.ids import canonical_work_id, doi_key, work_key
+from citeloom.functions.ids import canonical_from_key, doi_key, keyed
 from citeloom.operators.eager_join_agg import Measure, distinct_rows, eager_join_aggregate
 from citeloom.operators.nested_tables import nested_rows, nested_table
 from citeloom.operators.orphans import latest_parents, orphan_references
@@ -17,14 +17,14 @@ from citeloom.session import table
 def _reported(records: DataFrame) -> DataFrame:
     """(run_id, cited_id, citation_count): of a work delivered more than once by a run, the latest record holds."""
     last = F.max(F.struct("produced_at", "record_no", "citation_count")).alias("p")
-    keyed = records.withColumn("__work", canonical_work_id(F.col("doi"))).where("run_id IS NOT NULL AND __work IS NOT NULL")
-    return keyed.groupBy("run_id", F.col("__work").alias("cited_id")).agg(last).select("run_id", "cited_id", F.col("p.citation_count").alias("citation_count"))
+    known = keyed(records.where("run_id IS NOT NULL").select("run_id", "doi", "produced_at", "record_no", "citation_count"), "doi", "__work")
+    return known.groupBy("run_id", canonical_from_key(F.col("__work")).alias("cited_id")).agg(last).select("run_id", "cited_id", F.col("p.citation_count").alias("citation_count"))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
     """Distinct (run_id, cited_id, citing, ref_index); a NULL citing DOI or index is a value of its own."""
-    keyed = rows.select("run_id", canonical_work_id(F.col("cited_id")).alias("cited_id"), F.lower("citing_doi").alias("citing"), "ref_index")
-    return distinct_rows(keyed.where("run_id IS NOT NULL AND cited_id IS NOT NULL"), keyed.columns)
+    known = keyed(rows.where("run_id IS NOT NULL").select("run_id", "cited_id", "citing_doi", "ref_index"), "cited_id", "__work")
+    return distinct_rows(known.select("run_id", canonical_from_key(F.col("__work")).alias("cited_id"), F.lower("citing_doi").alias("citing"), "ref_index"), ["run_id", "cited_id", "citing", "ref_index"])
 
 
 def p1_citation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_join_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per run and provenance: rows of partition_rows JOIN cited_records on run and work, and the sum of reported counts over them."""
-    left = table(spark, sf_dir, "partition_rows").select("run_id", canonical_work_id(F.col("cited_id")).alias("work"), "provenance")
-    right = table(spark, sf_dir, "cited_records").select("run_id", canonical_work_id(F.col("doi")).alias("work"), "citation_count")
+    left = keyed(table(spark, sf_dir, "partition_rows").select("run_id", "cited_id", "provenance"), "cited_id", "work")
+    right = keyed(table(spark, sf_dir, "cited_records").select("run_id", "doi", "citation_count"), "doi", "work")
     measures = [Measure("pairs", "n_pairs"), Measure("sum", "sum_reported", "right", "citation_count")]
     states = eager_join_aggregate(left, right, ["run_id", "work"], measures, group_left=["provenance"])
     return states.groupBy("run_id", "provenance").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("sum_reported").alias("sum_reported"))
@@ -50,7 +50,7 @@ def p1_join_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_top_cited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 works with the most rows in merge_rows, with their counts."""
-    top = threshold_topk(table(spark, sf_dir, "merge_rows"), canonical_work_id(F.col("cited_id")), 20)
+    top = threshold_topk(keyed(table(spark, sf_dir, "merge_rows").select("cited_id"), "cited_id", "__work"), canonical_from_key(F.col("__work")), 20)
     return top.select(F.col("item").alias("cited_id"), "n")
 
 
@@ -74,8 +74,8 @@ def _p3_table(name: str):
 
 
 def _p4_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    one = lambda name: table(spark, sf_dir, name).select(F.lit(name).alias("src_table"), work_key(F.col("cited_id")).alias("key"), "written_at", "row_no")
-    records = table(spark, sf_dir, "id_records").select(work_key(F.col("id")).alias("key"), "registered_at", "removed_at", "delivered_at", "record_no")
+    one = lambda name: keyed(table(spark, sf_dir, name).select("cited_id", "written_at", "row_no"), "cited_id", "key").select(F.lit(name).alias("src_table"), "key", "written_at", "row_no")
+    records = keyed(table(spark, sf_dir, "id_records").select("id", "registered_at", "removed_at", "delivered_at", "record_no"), "id", "key")
     return one("merge_rows").unionByName(one("partition_rows")), latest_parents(records, "key", "registered_at", "removed_at", "delivered_at", "record_no")
 
 
