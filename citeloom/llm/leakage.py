@@ -30,6 +30,8 @@ MASKS = ("110110110111", "101101101101", "011011011011", "111000111000", "000111
 MAX_REPLACED = 2
 #: Characters of the items of one block; its index takes about 50 bytes a character.
 BLOCK_CHARS = 8_000_000
+#: Pairs of windows held at once.
+HITS = 1_000_000
 
 
 class SeedIndex:
@@ -75,12 +77,16 @@ class SeedIndex:
         return total
 
     def hits(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(position in own, item, position in item) of all windows with a common hash, mask by mask."""
+        """(position in own, item, position in item) of all windows with a common hash, mask by mask, some at a time."""
         for (n, mask), (h, item, at) in self.tables.items():
             mine = self.hashes(own, n, mask)
             first, last = np.searchsorted(h, mine, "left"), np.searchsorted(h, mine, "right")
-            where = np.flatnonzero(last > first)
-            if len(where):
+            every = np.flatnonzero(last > first)
+            # windows in stretches with about HITS pairs: a text of one word repeated meets an item of it at every place
+            ends = np.searchsorted(np.cumsum((last - first)[every]), np.arange(HITS, (last - first)[every].sum() + HITS, HITS), "left") + 1
+            start = 0
+            for end in np.unique(np.minimum(ends, len(every))).tolist():
+                where, start = every[start:end], end
                 many = (last - first)[where]
                 row = np.repeat(first[where] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
                 yield np.repeat(where, many), item[row], at[row]
@@ -132,15 +138,24 @@ def _search(index: SeedIndex, batch: pa.RecordBatch) -> pa.RecordBatch:
     del flat
     ids = batch.column(0).to_pylist()
     seen: dict[tuple[int, int], list[int]] = {}
-    pairs: list[np.ndarray] = []
+    # a document, an item and a shift as one number, which sorts faster than three
+    most = max(map(len, index.words), default=0)  # a shift is above -most and below len(own)
+    span = len(own) + most + 1
+    codes: list[np.ndarray] = []
     for where, item, at in index.hits(own):
         doc = np.searchsorted(begin, where, "right") - 1
-        pairs.append(np.unique(np.stack([doc, item, where - begin[doc] - at]), axis=1))
-    if pairs:
-        for doc, item, shift in np.unique(np.concatenate(pairs, axis=1), axis=1).T:
-            got = overlap(own[begin[doc] : begin[doc + 1] - index.window], index.words[item], int(shift), index.window)
+        codes.append(np.unique((doc * len(index.ids) + item) * span + where - begin[doc] - at + most))
+    if codes:
+        for code in np.unique(np.concatenate(codes)).tolist():
+            rest, shift = divmod(code, span)
+            doc, item = divmod(rest, len(index.ids))
+            shift -= most
+            whole = len(index.words[item])
+            if seen.get((doc, item)) == [whole, whole, whole]:
+                continue  # the item is there as a whole; no other place says more
+            got = overlap(own[begin[doc] : begin[doc + 1] - index.window], index.words[item], shift, index.window)
             if got:
-                best = seen.setdefault((int(doc), int(item)), [0, 0, 0])
+                best = seen.setdefault((doc, item), [0, 0, 0])
                 if (got[0], got[1]) > (best[0], best[1]):
                     best[:2] = got[:2]
                 best[2] = max(best[2], got[2])

@@ -10,6 +10,7 @@ words' spelling is trained; it decides on every candidate, and overlaps of accep
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -65,11 +66,12 @@ _STREETS = (
 _GERMAN = re.compile(r"(?i:straße|strasse|str\.|gasse|platz|weg|allee|damm|ufer|ring) \d")
 
 _PART = r"(?:(?i:van der|van den|von der|von den|de la|de los|della|van|von|vom|zu|den|del|de|du|di|da|la|le|ter|ten) )"
-_INITIALS = r"\p{Lu}\.(?:[ \-]?\p{Lu}\.)*"
-_WORD = r"\p{Lu}\p{L}+"
+# Repetitions are bounded: an endless row of initials would be read to its end from each of them.
+_INITIALS = r"\p{Lu}\.(?:[ \-]?\p{Lu}\.){0,4}"
+_WORD = r"\p{Lu}\p{L}{1,40}"
 _NAME = regex.compile(
-    rf"(?<![\w@.\-–])(?:(?P<given>{_WORD}(?:-{_WORD})*(?: {_INITIALS})?|{_INITIALS}) (?P<part>{_PART})?(?P<sur>{_WORD}(?:-{_WORD})*)"
-    rf"|(?P<sur2>{_PART}?{_WORD}(?:-{_WORD})*), (?P<given2>{_INITIALS}|{_WORD}(?:-{_WORD})*(?: {_INITIALS})?)(?![\w@]))"
+    rf"(?<![\w@.\-–])(?:(?P<given>{_WORD}(?:-{_WORD}){{0,3}}(?: {_INITIALS})?|{_INITIALS}) (?P<part>{_PART})?(?P<sur>{_WORD}(?:-{_WORD}){{0,3}})"
+    rf"|(?P<sur2>{_PART}?{_WORD}(?:-{_WORD}){{0,3}}), (?P<given2>{_INITIALS}|{_WORD}(?:-{_WORD}){{0,3}}(?: {_INITIALS})?)(?![\w@]))"
 )
 
 # Words around a place that speak for or against a kind, in the languages of the corpus.
@@ -331,9 +333,10 @@ def resolve(spans: Iterable[tuple[int, int, str]]) -> list[tuple[int, int, str]]
     rank = {k: i for i, k in enumerate(("email", "address", "id_number", "phone", "name"))}
     kept: list[tuple[int, int, str]] = []
     for s in sorted(spans, key=lambda s: (rank[s[2]], s[0] - s[1], s[0])):
-        if all(s[1] <= k[0] or k[1] <= s[0] for k in kept):
-            kept.append(s)
-    return sorted(kept)
+        i = bisect_left(kept, s)
+        if (i == 0 or kept[i - 1][1] <= s[0]) and (i == len(kept) or s[1] <= kept[i][0]):
+            kept.insert(i, s)
+    return kept
 
 
 def spans_of(text: str | None, model: Model) -> list[tuple[int, int, str]]:

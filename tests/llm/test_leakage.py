@@ -61,6 +61,12 @@ def test_overlap(doc, item, shift, want):
     assert overlap(np.array(doc), np.array(item), shift) == want
 
 
+def test_long_and_repetitive_texts(spark):
+    texts = ["ha " * 30_000, "x " * 20_000 + LONG + " y" * 20_000, LONG + " z" * 30_000, "z " * 30_000 + LONG]
+    got = {(r.doc_id, r.item_id): r.exact_words for r in leaked_items(_docs(spark, texts), _items(spark, ["ha " * 40, LONG])).collect()}
+    assert got == {(0, 0): 40, (1, 1): 40, (2, 1): 40, (3, 1): 40}
+
+
 def test_index_of_short_items():
     index = SeedIndex([(1, "a b c"), (2, None), (3, "a")])
     assert index.ids == [1, 3] and {n for n, _ in index.tables} == {1, 3}

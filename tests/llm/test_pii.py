@@ -42,7 +42,7 @@ def test_candidates(text, kind, value):
 
 
 def test_candidates_of_odd_texts():
-    for text in ("", " ", "@", "@@@ a@ @b", "(" * 2000, "1" * 5000, "A" * 5000, "+" * 500, "Anna " * 500, "1-" * 3000, "a@" * 1000):
+    for text in ("", " ", "@", "@@@ a@ @b", "(" * 2000, "1" * 5000, "A" * 5000, "+" * 500, "Anna " * 500, "1-" * 3000, "a@" * 1000, "A. B. " * 20_000, "Aa-" * 20_000, "Anna Keldenrup, " * 5000, "x" * 1_000_000):
         candidates(plain(text).text, NAMES)
 
 
