@@ -6,7 +6,6 @@ import hashlib
 import json
 from collections.abc import Iterable, Iterator
 from decimal import Decimal, InvalidOperation
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -56,7 +55,6 @@ def _written(value: object) -> dict:
     return {"\x00number": str(value)}
 
 
-@lru_cache(maxsize=1024)
 def value_digest(text: str | None) -> int:
     """64-bit digest of a JSON text as a value; equal values in any spelling have equal digests.
 
