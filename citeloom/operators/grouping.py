@@ -45,15 +45,15 @@ def grouped_citations(citations: DataFrame, page: int = PAGE) -> DataFrame:
     citations than page is cut by a hash of (doi, ref_index) into pages that are each in order, so that no list, and no
     task's share of a hot work, grows without bound. All other works have the one page 0. Nothing is left out.
     """
-    counts = citations.groupBy("cited_id").agg(F.count(F.lit(1)).alias("citation_count"))
-    # AQE splits or broadcasts this join by measured sizes; the count of a hot work has been combined before it
-    sized = citations.join(counts, "cited_id")
-    pages = F.ceil(F.col("citation_count") / page)
-    placed = sized.withColumn("page_no", F.when(pages > 1, F.pmod(F.xxhash64("citing_doi", "ref_index"), pages)).otherwise(0).cast("int"))
+    counts = citations.groupBy("cited_id").agg(F.count(F.lit(1)).alias("total"))
+    # works with more than a page: at most rows / page of them, so they fit a broadcast, and no hot key meets in a join
+    hot = F.broadcast(counts.where(F.col("total") > page))
+    pages = F.ceil(F.col("total") / page)
+    placed = citations.join(hot, "cited_id", "left").withColumn("page_no", F.when(F.col("total").isNotNull(), F.pmod(F.xxhash64("citing_doi", "ref_index"), pages)).otherwise(0).cast("int"))
     entry = F.struct(F.col("rank"), F.col("citing_doi").alias("doi"), "ref_index", "provenance", "ref_json")
-    lists = placed.groupBy("cited_id", "page_no").agg(F.first("citation_count").alias("citation_count"), F.array_sort(F.collect_list(entry)).alias("l"))
+    lists = placed.groupBy("cited_id", "page_no").agg(F.max("total").alias("total"), F.array_sort(F.collect_list(entry)).alias("l"))
     out = F.transform("l", lambda c: F.struct(c["doi"].alias("doi"), c["ref_index"].alias("ref_index"), c["provenance"].alias("provenance"), c["ref_json"].alias("ref_json")))
-    return lists.select("cited_id", "page_no", "citation_count", out.alias("cited_by"))
+    return lists.select("cited_id", "page_no", F.coalesce("total", F.size("l").cast("bigint")).alias("citation_count"), out.alias("cited_by"))
 
 
 def of_provenance(grouped: DataFrame, provenance: str) -> DataFrame:

@@ -23,11 +23,11 @@ def rows_per_file(batch_size: int) -> int:
 def write_staged(rows: DataFrame, path: str, batch_size: int = 5_000_000) -> None:
     """Write citation rows to one directory per partition key, compressed, replacing what was there.
 
-    Rows are first gathered by key, else every task would open a file in every directory; a hash of the citing DOI
-    spreads a hot key over several tasks.
+    Rows are first gathered by key, else every task would open a file in every directory; a rebalance splits the keys
+    that are larger than the advisory size of a partition, however large they are.
     """
     keyed = rows.withColumn("part", partition_key(F.col("cited_id")))
-    gathered = keyed.repartition("part", F.pmod(F.xxhash64("citing_doi"), F.lit(8)))
+    gathered = keyed.hint("rebalance", F.col("part"))
     gathered.write.mode("overwrite").partitionBy("part").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file(batch_size)).parquet(path)
 
 
