@@ -39,31 +39,34 @@ def work_counts(citations: DataFrame) -> DataFrame:
 
 
 def grouped_citations(citations: DataFrame, page: int = PAGE) -> DataFrame:
-    """(cited_id, page_no, citation_count, cited_by): deduplicated citations grouped by work, in order of provenance, citing DOI, index.
+    """(cited_id, page_no, citation_count, publisher_count, crossref_count, mined_count, cited_by): deduplicated citations grouped by work, in order of provenance, citing DOI, index.
 
-    cited_by holds struct<doi, ref_index, provenance, ref_json>; citation_count is the work's total. A work with more
+    cited_by holds struct<doi, ref_index, provenance, ref_json>; all counts are the work's totals, on every page. A work with more
     citations than page is cut by a hash of (doi, ref_index) into pages that are each in order, so that no list, and no
     task's share of a hot work, grows without bound. All other works have the one page 0. Nothing is left out.
     """
-    counts = citations.groupBy("cited_id").agg(F.count(F.lit(1)).alias("total"))
+    by = {p: f"{p}_count" for p in PROVENANCES}
+    counts = work_counts(citations).withColumnRenamed("citation_count", "total")
     # works with more than a page: at most rows / page of them, so they fit a broadcast, and no hot key meets in a join
     hot = F.broadcast(counts.where(F.col("total") > page))
     pages = F.ceil(F.col("total") / page)
     placed = citations.join(hot, "cited_id", "left").withColumn("page_no", F.when(F.col("total").isNotNull(), F.pmod(F.xxhash64("citing_doi", "ref_index"), pages)).otherwise(0).cast("int"))
     entry = F.struct(F.col("rank"), F.col("citing_doi").alias("doi"), "ref_index", "provenance", "ref_json")
-    lists = placed.groupBy("cited_id", "page_no").agg(F.max("total").alias("total"), F.array_sort(F.collect_list(entry)).alias("l"))
+    lists = placed.groupBy("cited_id", "page_no").agg(*(F.max(c).alias(c) for c in ("total", *by.values())), F.array_sort(F.collect_list(entry)).alias("l"))
     out = F.transform("l", lambda c: F.struct(c["doi"].alias("doi"), c["ref_index"].alias("ref_index"), c["provenance"].alias("provenance"), c["ref_json"].alias("ref_json")))
-    return lists.select("cited_id", "page_no", F.coalesce("total", F.size("l").cast("bigint")).alias("citation_count"), out.alias("cited_by"))
+    ranks = F.transform("l", lambda c: c["rank"])
+    own = [F.coalesce(by[p], F.size(F.filter(ranks, F.lit(i).eqNullSafe)).cast("bigint")).alias(by[p]) for i, p in enumerate(PROVENANCES)]
+    return lists.select("cited_id", "page_no", F.coalesce("total", F.size("l").cast("bigint")).alias("citation_count"), *own, out.alias("cited_by"))
 
 
 def of_provenance(grouped: DataFrame, provenance: str) -> DataFrame:
-    """The same records with the citations of one provenance and their own count; works without any are left out.
+    """The same records with the citations of one provenance; works without any are left out.
 
-    Counts of paged works are the page's own.
+    citation_count is the work's total of that provenance, on every page of it; pages without any such citation are left out.
     """
     rank = PROVENANCES.index(provenance)
     own = grouped.withColumn("cited_by", F.filter("cited_by", lambda c: provenance_rank(c["provenance"]) == rank))
-    return own.where(F.size("cited_by") > 0).withColumn("citation_count", F.size("cited_by").cast("bigint"))
+    return own.where(F.size("cited_by") > 0).withColumn("citation_count", F.col(f"{provenance}_count"))
 
 
 def record_json(cited_id: Column, citation_count: Column, cited_by: Column) -> Column:

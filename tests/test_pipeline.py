@@ -115,6 +115,16 @@ def test_pages_of_a_hot_work_hold_all(spark):
     assert [p.page_no for p in pages if p.cited_id == "cold"] == [0]
 
 
+def test_provenance_counts_of_paged_works_are_the_works(spark):
+    kinds = ["mined", "publisher", "mined", "crossref", "other"]
+    frame = _rows(spark, [(f"c{i}", i % 3, "hot", kinds[i % 5], "null") for i in range(500)] + [("p", 9, "hot", "crossref", "null")] + [("x", 0, "cold", "mined", "null")])
+    grouped = grouped_citations(dedup_citations(frame), page=60)
+    for provenance, total in (("publisher", 100), ("crossref", 101), ("mined", 300)):
+        pages = [p for p in of_provenance(grouped, provenance).collect() if p.cited_id == "hot"]
+        assert {p.citation_count for p in pages} == {total} == {sum(len(p.cited_by) for p in pages)}
+    assert [(p.cited_id, p.citation_count) for p in of_provenance(grouped, "mined").where("cited_id = 'cold'").collect()] == [("cold", 1)]
+
+
 def test_registry(spark):
     lines = spark.createDataFrame([(x,) for x in ('{"id":"10.1/A"}', '{"id":"10.1/a","x":1}', '{"id":5}', '{"id":null}', '{"id":""}', "{}", "bad", '{"id":"10.1/b"} x', "[]", None)], "value string")
     assert rows(registry_ids(lines)) == [("10.1/a",)]
