@@ -31,6 +31,8 @@ SAMPLE_PER_PATTERN = 100
 MAX_NAMES = 200_000
 #: Spellings of surnames before which an unlisted given name must have been seen.
 LEARNED_FROM = 3
+#: Vote of the surname lists on a surname that they neither hold nor resemble: lists are incomplete, so it is no evidence.
+UNLISTED = 2
 #: Features of the span classifier.
 DIMENSIONS = 1 << 13
 
@@ -90,8 +92,12 @@ _AGAINST = {
 # Words that open a sentence or stand before a surname without being a given name.
 _NOT_GIVEN = frozenset("the as a an in by to of for from with and or but if when our we both das der die den dem des ein eine wie und oder nach laut von bei mit según el la los las un una y como por con d après selon le les une et de du comme par avec dr prof mr mrs ms herr frau mme mlle sr sra señor señora thanks dank contact contacto see siehe voir véase signed reviewed reprints section table figure journal acta proceedings letters review archive institute university table mark".split()) - {"mark"}
 _TITLES = frozenset("dr prof mr mrs ms herr frau mme mlle sr sra señor señora herrn".split())
+_ARTICLES = frozenset("a an the".split())
 _GROUPS = frozenset("institute institut instituto collaboration group gruppe grupo groupe bound argument lemma theorem university universität et working detector archive review letters journal".split())
 
+#: What follows a word that belongs to the short title of a journal, as in "J. Phys. Rev. 4" or "J. Word Res. 4".
+_JOURNAL = regex.compile(r"\.?(?: \p{Lu}\p{L}{0,9}\.)+,? \d")
+
 _LAST = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}'’\-]*")
 
 
@@ -184,7 +190,10 @@ def _shape(s: str) -> str:
 
 
 def candidates(text: str, names: Gazetteer) -> list[Candidate]:
-    """Candidate places of all kinds in a plain text, with votes and features; places of one kind don't overlap."""
+    """Candidate places of all kinds in a plain text, with votes and features.
+
+    Names with a surname that no list has are proposed too and may overlap others; the rest of a kind don't overlap.
+    """
     out: list[Candidate] = []
     flat = text
 
@@ -233,17 +242,16 @@ def candidates(text: str, names: Gazetteer) -> list[Candidate]:
         alike = names.like_surname(bare)
         word = given.split(" ")[0]
         start_given = word.casefold()
-        if not (known or alike):
-            # one word on: the surname of this match may be the given name of the next
-            pos = m.start() + max(1, len((m.group("sur2") if inverse else given).split(" ")[0]))
-            continue
+        unlisted = not (known or alike)
+        # one word on: the surname of this match may be the given name of the next
+        next_word = m.start() + max(1, len((m.group("sur2") if inverse else given).split(" ")[0]))
         if not inverse and " " in given and start_given in _NOT_GIVEN:  # "Mme P. Surname"
             pos = m.start() + len(word) + 1
             continue
         initials = bool(regex.fullmatch(_INITIALS, given))
         is_given = names.is_given(word)
         unlikely = not initials and (start_given in _NOT_GIVEN or names.like_surname(word) or (inverse and not is_given))
-        if not initials and not inverse and unlikely and not is_given:
+        if not unlisted and not initials and not inverse and unlikely and not is_given:
             # "The Surname": the surname may still open "Surname, J."
             back = _NAME.match(flat, m.start("sur"))
             if back and back.group("sur2") is not None:
@@ -253,16 +261,23 @@ def candidates(text: str, names: Gazetteer) -> list[Candidate]:
         grouped = bool(after) and after[0] in _GROUPS and not (after[0] == "et" and (len(after) < 2 or not after[1].startswith("al")))
         joined = flat[m.end() : m.end() + 1] in ("–", "@") or bool(regex.match(r"-\p{L}", flat[m.end() : m.end() + 2]))
         title = bool(before) and before[0] in _TITLES
+        if unlisted:
+            common = bare.casefold() in _NOT_GIVEN or bare.casefold() in _GROUPS
+            journal = initials and not inverse and bool(_JOURNAL.match(flat, m.end()))
+            is_given = is_given and not (before and before[0] in _ARTICLES)  # "the Rose Garden"
+            unlikely = unlikely or common or journal or not (is_given or initials or title)
+            joined = joined or common or journal
+            initials = initials and not journal
         votes = (
-            _vote(known),
-            _vote(alike, True),
+            UNLISTED if unlisted else _vote(known),
+            UNLISTED if unlisted else _vote(alike, True),
             _vote(is_given or initials, start_given in _NOT_GIVEN),
             _vote(False, unlikely),
-            _vote(title, (grouped and not is_given and not initials) or joined),
+            _vote(title and not joined, (grouped and not is_given and not initials) or joined) if unlisted else _vote(title, (grouped and not is_given and not initials) or joined),
         )
         add("name", m.start(), m.end(), votes, [*_spelling(bare.casefold()), f"{'after' if inverse else 'direct'}={'' if initials else start_given}", f"given={'I' if initials else start_given if is_given or start_given in _NOT_GIVEN else 'other'}", f"inverse={inverse}", f"caps={sur.isupper()}"])
         # a surname that turns out to be none of this given name may still belong to the next one
-        pos = m.end() if not unlikely or is_given or inverse else m.start("sur")
+        pos = next_word if unlisted else m.end() if not unlikely or is_given or inverse else m.start("sur")
     return out
 
 
@@ -272,13 +287,13 @@ def candidates(text: str, names: Gazetteer) -> list[Candidate]:
 def estimate(patterns: Sequence[tuple[tuple[int, ...], int]], rounds: int = 60, prior: float = 8.0) -> dict[tuple[int, ...], float]:
     """Posterior of each pattern of votes to be a true place, by expectation-maximisation over the patterns' counts.
 
-    Labelers are independent given the truth; each has, per class, a probability of every vote, with a prior that makes
+    A vote of UNLISTED says nothing for or against. Labelers are independent given the truth; each has, per class, a probability of every vote, with a prior that makes
     it somewhat better than chance. Starts from the balance of votes.
     """
     votes = np.array([p for p, _ in patterns], np.int64)
     n = np.array([c for _, c in patterns], float)
     n = n / n.sum() * max(1000.0, min(n.sum(), 1e6))  # the prior weighs as much in a corpus of any size
-    posterior = 1 / (1 + np.exp(-1.5 * votes.sum(axis=1)))
+    posterior = 1 / (1 + np.exp(-1.5 * np.where(votes == UNLISTED, 0, votes).sum(axis=1)))
     hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     lean = np.array([[0.2, 1.0, 1.8], [1.8, 1.0, 0.2]]) * prior
     for _ in range(rounds):
@@ -423,7 +438,7 @@ def _learned(each: DataFrame) -> frozenset[str]:
     """
     direct = F.filter("features", lambda x: x.startswith("direct="))[0]
     tail = F.filter("features", lambda x: x.startswith("tail4="))[0]
-    open_ = each.where((F.col("kind") == "name") & (F.col("votes")[2] == 0) & (F.col("votes")[3] == 0) & (F.col("votes")[4] >= 0))
+    open_ = each.where((F.col("kind") == "name") & (F.col("votes")[0] != UNLISTED) & (F.col("votes")[2] == 0) & (F.col("votes")[3] == 0) & (F.col("votes")[4] >= 0))
     counted = open_.select(F.substring(direct, 8, 200).alias("g"), tail.alias("t")).where("g <> ''").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("t").alias("k"))
     return frozenset(r.g for r in counted.where(f"k >= {LEARNED_FROM}").orderBy(F.desc("n"), "g").limit(MAX_NAMES).collect())
 
@@ -432,7 +447,7 @@ def pii_places(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, pii_kind, span_start, span_end): each place, in code points of the text as it is.
 
     NULL and empty texts have none. Repeated texts and ids each have their own places. Without names in the
-    gazetteer no names are found, the other kinds are. Empty docs give no rows; other columns are not read.
+    gazetteer names have nothing but titles, initials and context to speak for them. Empty docs give no rows; other columns are not read.
     """
     known = gazetteer(names)
     found = materialize(pii_candidates(docs, known, doc_id, text), "pii-candidates")

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from citeloom.llm.pii import Gazetteer, candidates, estimate, pii_places, redact, resolve
+from citeloom.llm.pii import UNLISTED, Gazetteer, candidates, estimate, pii_places, redact, resolve
 from citeloom.llm.plaintext import plain
 
 GIVEN = ["Anna", "Mark", "Rose", "Jürgen", "Lena"]
@@ -106,6 +106,22 @@ def test_found_places(spark):
             at = text.index(part, at) + len(part)
 
 
+@pytest.mark.parametrize(("text", "value"), [("Dr. Anna Wu said", "Anna Wu"), ("thank Anna Nowak for", "Anna Nowak"), ("by K. Nowak.", "K. Nowak"), ("Prof. Zeynep Wu,", "Zeynep Wu"), ("Nowak, K. and", "Nowak, K.")])
+def test_unlisted_surnames_are_candidates(text, value):
+    found = [c for c in candidates(plain(text).text, NAMES) if text[c.start : c.end] == value]
+    assert found and found[0].votes[:2] == (UNLISTED, UNLISTED) and min(found[0].votes[2:]) >= 0
+
+
+def test_found_places_with_few_listed_surnames(spark):
+    texts = _texts(600) + [("We thank Dr. Anna Wu for the data. ", {("name", 13)}), ("We thank Anna Nowak for the data. ", {("name", 9)}), ("In J. Phys. Rev. 12, 4 and the Rose Garden. ", set())]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    names = spark.createDataFrame([(n, "given") for n in GIVEN] + [(n, "surname") for i, n in enumerate(SURNAMES) if i % 3], "name_part string, part_kind string")
+    got = {(r.doc_id, r.pii_kind, r.span_start) for r in pii_places(docs, names).collect()}
+    want = {(i, k, s) for i, (_, places) in enumerate(texts) for k, s in places}
+    assert len(got & want) >= 0.98 * len(want) and len(got & want) >= 0.98 * len(got)
+    assert {x for x in got if x[0] >= 600} == {x for x in want if x[0] >= 600}
+
+
 def test_without_names_or_texts(spark):
     docs = spark.createDataFrame([(1, "Call +44 1632 960 831. Anna Keldenrup, Anna Keldenrup.")], "doc_id bigint, text string")
     names = spark.createDataFrame([], "name_part string, part_kind string")
