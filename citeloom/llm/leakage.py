@@ -23,9 +23,9 @@ from citeloom.llm.words import words
 
 #: Words of a window.
 WINDOW = 12
-#: Positions that count (1) and are ignored (0). A window with one replaced word, wherever it is, keeps a mask whole,
-#: as do most windows with two. For items of fewer words than a window the masks are cut.
-MASKS = ("110110110111", "101101101101", "011011011011", "111000111000", "000111000111", "111111000000")
+#: Positions that count (1) and are ignored (0). A window with one or two replaced words, wherever they are, keeps a
+#: mask whole. For items of fewer words than a window the masks are cut, and the same holds down to five words.
+MASKS = ("110110110111", "101101101101", "011011011011", "111000111000", "000111000111", "111111000000", "100010100111", "010100010111", "000111111000")
 #: Replaced words that an overlap may have in any window.
 MAX_REPLACED = 2
 #: Characters of the items of one block; its index takes about 50 bytes a character.
@@ -168,8 +168,8 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
 
     overlap_words is the length of the longest stretch in which no twelve words have more than two replaced ones,
     equal_words how many of its words are equal, exact_words the longest run of equal words; for items of fewer words
-    than a window, the whole item counts as the window. Every pair with an exact run of a window is found; one with
-    replaced words is found if a mask leaves them out in some window.
+    than a window, the whole item counts as the window. Every pair with such an overlap is found: some mask leaves
+    out any two words of a window.
 
     NULL and empty texts, and texts without words, overlap with nothing. Repeated texts under other ids each have their
     rows; repeated ids too. Empty docs or items give no rows. Other columns of either input are not read.

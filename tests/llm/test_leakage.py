@@ -24,6 +24,16 @@ def test_masks_leave_any_single_word_out():
     assert all(any(m[p] == "0" for m in MASKS) for p in range(WINDOW))
 
 
+@pytest.mark.parametrize("n", range(5, WINDOW + 1))
+def test_two_replaced_words_are_found_anywhere(n):
+    index = SeedIndex([(1, " ".join(f"w{i}" for i in range(n)))])
+    for p in range(n):
+        for q in range(p):
+            own = index.words[0].copy()
+            own[[p, q]] = 0
+            assert any(len(where) for where, _, _ in index.hits(own)), (p, q)
+
+
 def _docs(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 AS item_id", "'x' AS t", "2 AS i")
 
