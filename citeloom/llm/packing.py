@@ -1,9 +1,9 @@
-"""Texts packed into containers of a fixed number of tokens by exact-complement hashing on their lengths.
+"""Texts packed into containers of a fixed number of tokens by exact complements of their lengths.
 
 Lengths are whole numbers up to the capacity, so all that packing needs is how many pieces there are of each
 length: a histogram with at most capacity entries, whatever the size of the corpus. The plan is made on it once.
-Sums of one, two and three available lengths are hashed; a piece is closed with the combination that fills its gap
-exactly, as many times as the counts of all its lengths allow at once; what is left goes to the best fit. The plan
+For each gap the counts are scanned for one, two or three lengths left that fill it exactly (there is no index of sums);
+a piece is closed with such a combination as many times as the counts of all its lengths allow at once; what is left goes to the best fit. The plan
 comes out as runs: pieces number a..b of length l go to containers c, c + 1, ... . Pieces get their number within
 their length from counts per task and a running sum, not from one sorted window, and meet their run by its range.
 """
