@@ -5,6 +5,9 @@ place) vote on each candidate: yes, no or no opinion. How often each pattern of
 whole corpus; expectation-maximisation estimates on these counts how reliable each labeler is, without any labelled
 text. The posteriors label a bounded sample of candidates, on which a logistic span classifier over votes and the
 words' spelling is trained; it decides on every candidate, and overlaps of accepted places are resolved per text.
+
+Proposing takes time linear in the text, whatever it holds: repetitions are unbounded but never tried twice, and
+names are read off a row of tokens instead of being searched from each place.
 """
 
 from __future__ import annotations
@@ -12,115 +15,116 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.plaintext import plain
+from citeloom.llm.plaintext import UPPER, Plain, plain
 from citeloom.session import materialize
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Candidates of one pattern of votes on which the classifier is trained, about so many at most.
 SAMPLE_PER_PATTERN = 100
-#: Names that the gazetteers may hold; they are sent to every task.
+#: Names that are sent to every task; more in the gazetteer are an error, more learned ones are joined.
 MAX_NAMES = 200_000
-#: Spellings of surnames before which an unlisted given name must have been seen.
-LEARNED_FROM = 3
+#: An unlisted word is a given name if, with this many standard deviations of certainty, at least half of the pairs it opens have a known surname.
+CERTAINTY = 1.28
 #: Vote of the surname lists on a surname that they neither hold nor resemble: lists are incomplete, so it is no evidence.
 UNLISTED = 2
-#: Features of the span classifier.
+#: Features of the span classifier, and how many a candidate has at most; the place behind the last is for none.
 DIMENSIONS = 1 << 13
+SLOTS = 16
 
 # --- candidates -------------------------------------------------------------------------------------------------
 
-_AT = r"(?:\s?[@]\s?|\s?[\[({]\s?(?i:at)\s?[\])}]\s?|\s(?i:at)\s(?=[\w\-]+\s?[\[({]?\s?(?i:dot)\b))"
+# A pattern opens with a class of characters, which the matcher skips to, and looks at what is before it after that.
+_SIGN = re.compile(r"[@\[({aA](?:(?<=@)|(?<=[\[({])\s?[aA][tT]\s?[\])}]|(?<=\s[aA])[tT](?=\s[\w\-]++\s?[\[({]?\s?(?i:dot)\b))")
 _DOT = r"(?:\.|\s?[\[({]\s?(?i:dot)\s?[\])}]\s?|\s(?i:dot)\s)"
-_SIGN = regex.compile(_AT)
-_LOCAL = regex.compile(r"(?<![\w.+%\-])\w[\w.+%\-]*$")
-_HOST = regex.compile(rf"[\w\-]+(?:{_DOT}[\w\-]+)*")
-#: Characters in which the part of an address before its sign is sought.
-_LOCAL_LENGTH = 320
+_HOST = re.compile(rf"[\w\-]++(?:{_DOT}[\w\-]++)*+")
+_DOTS = re.compile(_DOT)
+_LABELS = re.compile(r"[\w\-]+")
 
 _SEP = r"(?:\)[ .\-/]?|[ ]?\(|[ .\-/])"
-_PHONE = regex.compile(rf"(?<![\w@.+/\-])(?<!\d )(?:\+|\()?\d+(?:{_SEP}\d+){{0,8}}(?![\w@])")
+_PHONE = re.compile(rf"(?s:[+(\d](?<![\w@.+/\-].)(?<!\d .))(?:(?<=\d)|(?<=[+(])\d)\d*+(?:{_SEP}\d++)*(?![\w@])")
 
-_ID = re.compile(
-    r"(?<![\w@/.\-])(?:\d{4}-\d{4}(?:-\d{4}-\d{3}[\dXx])?|\d{3}([ \-])\d{2}\1\d{4}|\d{2}([ /])\d{3}\2\d{3}\2\d{3}|\d{11}"
-    r"|[A-Za-z]{2} \d{2} ?\d{2} ?\d{2} ?[A-Da-d]|[A-Z]{1,2} \d{6,8}|[A-Za-z]{1,2}-?\d{2,4}(?:[ \-]?\d{2,4}){1,3}(?:[ \-]?[A-Za-z0-9])?|\d{3}/\d{4})(?![\w@]|[\-/]\d)"
-)
+_RUN = re.compile(r"\d++")
+_ID_END = r"(?![\w@]|[\-/]\d)"
+_ID_DIGITS = re.compile(rf"(?:\d{{4}}-\d{{4}}(?:-\d{{4}}-\d{{3}}[\dXx])?|\d{{3}}([ \-])\d{{2}}\1\d{{4}}|\d{{2}}([ /])\d{{3}}\2\d{{3}}\2\d{{3}}|\d{{11}}|\d{{3}}/\d{{4}}){_ID_END}")
+_ID_LETTERS = re.compile(rf"(?:[A-Za-z]{{2}} \d{{2}} ?\d{{2}} ?\d{{2}} ?[A-Da-d]|[A-Z]{{1,2}} \d{{6,8}}|[A-Za-z]{{1,2}}-?\d{{2,4}}(?:[ \-]?\d{{2,4}}){{1,3}}(?:[ \-]?[A-Za-z0-9])?){_ID_END}")
+_ID_LEAD = re.compile(r"(?<![\w@/.\-])[A-Za-z]{1,2}[ \-]?\Z")
 
-_CAP = r"[\p{Lu}][\p{L}'’\-]*"
+_L = r"[^\W\d_]"
+_CAP = rf"[{UPPER}](?:{_L}|['’\-])*+"
 _POST = r"\d{4,5}"
+_LEFT = r"(?<![\w.\-/])"
 _STREETS = (
     # number, name, kind of street; unit; town with post code before or behind it
-    regex.compile(rf"(?<![\w.\-/])\d{{1,4}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}(?i:street|st|lane|ln|avenue|ave|road|rd|drive|boulevard|blvd|court|way|close|square|terrace)\b\.?(?:, (?i:unit|flat|apt|apartment|suite)\.? \w+)?,? {_CAP}(?:,? {_POST}\b)?"),
-    regex.compile(rf"(?<![\w.\-/])\d{{1,4}}(?: ?(?i:bis|ter))?,? (?i:rue|avenue|av\.|bd\.?|boulevard|place|chemin|allée|quai|impasse|cours)(?: (?i:de la|de l'|des|du|de|d'))? {_CAP},? (?:{_POST} )?{_CAP}"),
-    regex.compile(rf"(?<![\w.\-/])(?i:calle|c/|avda\.?|avenida|plaza|paseo|camino|ronda)(?: (?i:de la|de los|del|de))? {_CAP},? (?:(?i:n\.?o\.?|núm\.?) ?)?\d{{1,4}}(?:, \w+ \w)?, (?:{_POST} )?{_CAP}"),
-    regex.compile(rf"(?<![\w.\-/])(?:(?i:am|an der|an den|auf dem|im|in der|zum|zur) )?[\p{{Lu}}][\p{{L}}\-]*(?i:straße|strasse|str\.|gasse|platz|weg|allee|damm|ufer|ring) \d{{1,4}} ?[A-Za-z]?(?:,| (?i:in))(?: {_POST})? {_CAP}"),
+    re.compile(rf"\d(?<![\w.\-/]\d)\d{{0,3}}[A-Za-z]?,? (?:{_CAP} )+(?i:street|st|lane|ln|avenue|ave|road|rd|drive|boulevard|blvd|court|way|close|square|terrace)\b\.?(?:, (?i:unit|flat|apt|apartment|suite)\.? \w+)?,? {_CAP}(?:,? {_POST}\b)?"),
+    re.compile(rf"\d(?<![\w.\-/]\d)\d{{0,3}}(?: ?(?i:bis|ter))?,? (?i:rue|avenue|av\.|bd\.?|boulevard|place|chemin|allée|quai|impasse|cours)(?: (?i:de la|de l'|des|du|de|d'))? {_CAP},? (?:{_POST} )?{_CAP}"),
+    re.compile(rf"{_LEFT}(?i:calle|c/|avda\.?|avenida|plaza|paseo|camino|ronda)(?: (?i:de la|de los|del|de))? {_CAP},? (?:(?i:n\.?o\.?|núm\.?) ?)?\d{{1,4}}(?:, \w+ \w)?, (?:{_POST} )?{_CAP}"),
+    re.compile(rf"{_LEFT}(?:(?i:am|an der|an den|auf dem|im|in der|zum|zur) )?[{UPPER}](?:{_L}|-)*(?i:straße|strasse|str\.|gasse|platz|weg|allee|damm|ufer|ring) \d{{1,4}} ?[A-Za-z]?(?:,| (?i:in))(?: {_POST})? {_CAP}"),
 )
+# What a street line of the last two patterns must have in it: a word, or the end of the word before a number.
+_CALLES = ("calle", "c/", "avda", "avenida", "plaza", "paseo", "camino", "ronda")
+_STREET_ENDS = ("straße", "strasse", "str.", "gasse", "platz", "weg", "allee", "damm", "ufer", "ring")
 
-#: What a German street line must have in it; the other patterns start with a rarer character.
-_GERMAN = re.compile(r"(?i:straße|strasse|str\.|gasse|platz|weg|allee|damm|ufer|ring) \d")
+#: Initials, or a capitalised word with its hyphens: what names are made of.
+_TOKEN = re.compile(rf"(?s:[{UPPER}](?<![\w@.\-–].))(?:\.(?:[ \-]?[{UPPER}]\.)*+|(?:(?<=[OD])['’][{UPPER}](?={_L}))?{_L}++(?:-[{UPPER}]{_L}++)*+)")
+_PARTICLES = ("van der", "van den", "von der", "von den", "de la", "de los", "della", "van", "von", "vom", "zu", "den", "del", "de", "du", "di", "da", "la", "le", "ter", "ten")
+_GAPS = frozenset([" ", *(f" {p} " for p in _PARTICLES)])
+_PART_BEFORE = re.compile(rf"(?<![\w@.\-–])(?:{'|'.join(_PARTICLES)}) \Z")
 
-_PART = r"(?:(?i:van der|van den|von der|von den|de la|de los|della|van|von|vom|zu|den|del|de|du|di|da|la|le|ter|ten) )"
-# Repetitions are bounded: an endless row of initials would be read to its end from each of them.
-_INITIALS = r"\p{Lu}\.(?:[ \-]?\p{Lu}\.){0,4}"
-_WORD = r"\p{Lu}\p{L}{1,40}"
-_NAME = regex.compile(
-    rf"(?<![\w@.\-–])(?:(?P<given>{_WORD}(?:-{_WORD}){{0,3}}(?: {_INITIALS})?|{_INITIALS}) (?P<part>{_PART})?(?P<sur>{_WORD}(?:-{_WORD}){{0,3}})"
-    rf"|(?P<sur2>{_PART}?{_WORD}(?:-{_WORD}){{0,3}}), (?P<given2>{_INITIALS}|{_WORD}(?:-{_WORD}){{0,3}}(?: {_INITIALS})?)(?![\w@]))"
-)
-
-# Words around a place that speak for or against a kind, in the languages of the corpus.
+#: Words before a place that speak for or against a kind, in English, German, Spanish and French.
 _FOR = {
-    "email": "mail email e-mail mailto to or oder ou o en at contact contacto über proofs an author",
+    "email": "mail email e-mail mailto to or oder ou o en at contact contacto über",
     "phone": "phone tel telephone telefon telefono teléfono téléphone call voice fax mobile mobil ruf",
-    "id_number": "identity identité identidad steuernummer ssn orcid passport gave record into",
-    "address": "adresse anschrift dirección address office at reprints über part en desk signed from",
+    "id_number": "identity identité identidad steuernummer ssn orcid passport record",
+    "address": "adresse anschrift dirección address office at über en from",
 }
 _AGAINST = {
-    "email": "tag precision version",
-    "phone": "issn isbn pages pp arxiv doi grant nummer res report claim preprint points entry eintrag notice registro no number section equation table figure identity identité identidad steuernummer record into gave dossier expediente",
+    "email": "tag version",
+    "phone": "issn isbn pages pp arxiv doi grant nummer res report claim preprint points entry eintrag notice registro no number section equation table figure identity identité identidad steuernummer record dossier expediente",
     "id_number": "issn isbn pages pp claim grant report nummer dossier expediente no phone tel call voice telefon teléfono téléphone res preprint arxiv doi",
     "address": "section table figure equation",
 }
-# Words that open a sentence or stand before a surname without being a given name.
-_NOT_GIVEN = frozenset("the as a an in by to of for from with and or but if when our we both das der die den dem des ein eine wie und oder nach laut von bei mit según el la los las un una y como por con d après selon le les une et de du comme par avec dr prof mr mrs ms herr frau mme mlle sr sra señor señora thanks dank contact contacto see siehe voir véase signed reviewed reprints section table figure journal acta proceedings letters review archive institute university table mark".split()) - {"mark"}
-_TITLES = frozenset("dr prof mr mrs ms herr frau mme mlle sr sra señor señora herrn".split())
+_CONTEXT = {k: (frozenset(_FOR[k].split()), frozenset(_AGAINST[k].split())) for k in _FOR}
+#: Words that open a sentence or stand before a surname without being a given name.
+_NOT_GIVEN = frozenset("the as a an in by to of for from with and or but if when our we both das der die den dem des ein eine wie und oder nach laut von bei mit según el la los las un una y como por con d après selon le les une et de du comme par avec dr prof mr mrs ms herr frau mme mlle sr sra señor señora thanks dank contact contacto see siehe voir véase signed reviewed reprints section table figure journal acta proceedings letters review archive institute university".split())
+_TITLES = frozenset("dr prof professor mr mrs ms herr frau mme mlle sr sra señor señora herrn".split())
 _ARTICLES = frozenset("a an the".split())
-_GROUPS = frozenset("institute institut instituto collaboration group gruppe grupo groupe bound argument lemma theorem university universität et working detector archive review letters journal".split())
+#: Words behind a surname that make it the name of something else.
+_GROUPS = frozenset("institute institut instituto collaboration group gruppe grupo groupe lemma theorem university universität et working detector archive review letters journal".split())
+#: Words before a name that is given as a person's.
+_PERSONS = frozenset("thank thanks dank danken gracias remercie remercions by author autor auteur dear".split())
 
-#: What follows a word that belongs to the short title of a journal, as in "J. Phys. Rev. 4" or "J. Word Res. 4".
-_JOURNAL = regex.compile(r"\.?(?: \p{Lu}\p{L}{0,9}\.)+,? \d")
+# What follows a word that belongs to the short title of a journal, as in "J. Phys. Rev. 4" or "J. Word Res. 4".
+_SHORT = re.compile(rf"\.?(?: [{UPPER}]{_L}*+\.)++")
+_VOLUME = re.compile(r",? \d")
 
-_LAST = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}'’\-]*")
+_TEXT_WORD = re.compile(r"[^\W_]++(?:['’\-]++[^\W_]*+)*+")
 
 
-def _before(text: str, start: int, n: int = 4) -> list[str]:
-    """The last n words before start, nearest first, in lower case."""
-    return [w.lower() for w in _LAST.findall(text[max(0, start - 60) : start])[::-1][:n]]
+class Candidate(NamedTuple):
+    """A proposed place; given and tail are the given name and the surname's end that unlisted given names are learned from."""
 
-
-def _after(text: str, end: int, n: int = 3) -> list[str]:
-    return [w.lower() for w in _LAST.findall(text[end : end + 40])[:n]]
-
-
-@dataclass
-class Candidate:
     kind: str
     start: int
     end: int
     votes: tuple[int, ...]
-    features: list[str] = field(default_factory=list)
+    slots: list[int]
+    given: str | None = None
+    tail: str | None = None
 
 
 class Gazetteer:
-    """Known names, and the ends that known surnames have in common: surnames that are not listed are mostly built alike."""
+    """Known names, and the ends that known surnames have in common: surnames that are not listed are often built alike."""
 
     def __init__(self, given: Iterable[str], surnames: Iterable[str]) -> None:
         self.given = {x.casefold() for x in given if x}
@@ -153,8 +157,6 @@ def _context(kind: str, words: Sequence[str]) -> tuple[int, int]:
     return 0, 0
 
 
-_CONTEXT = {k: (frozenset(_FOR[k].split()), frozenset(_AGAINST[k].split())) for k in _FOR}
-
 _PHONE_FORMS = [
     re.compile(p)
     for p in (
@@ -177,16 +179,238 @@ _ID_FORMS = [
         r"[A-Za-z]{2} ?\d{7}$|[A-Za-z]{2}-\d{3}-\d{4}$",
     )
 ]
-_DOTS = regex.compile(_DOT)
-_LABELS = re.compile(r"[\w\-]+")
-
-
-def _spelling(word: str) -> list[str]:
-    return [f"tail={word[-3:]}", f"tail4={word[-4:]}", f"head={word[:3]}"]
+#: Number of digits beyond which no form of a phone or identity number is looked for; such candidates have a vote against them.
+_MOST_DIGITS = 24
+_SHAPES = ((re.compile(rf"[{UPPER}]+"), "A"), (re.compile(r"[^\W\dA_]+"), "a"), (re.compile(r"\d+"), "9"))
 
 
 def _shape(s: str) -> str:
-    return regex.sub(r"\p{Lu}+", "A", regex.sub(r"\p{Ll}+", "a", re.sub(r"\d+", "9", s)))[:24]
+    for pattern, sign in _SHAPES:
+        s = pattern.sub(sign, s)
+    return s[:24]
+
+
+_memo: dict[str, int] = {}
+
+
+def _slot(feature: str) -> int:
+    """Place of a feature in the weight vector."""
+    slot = _memo.get(feature)
+    if slot is None:
+        if len(_memo) >= 500_000:
+            _memo.clear()
+        slot = _memo[feature] = xxhash.xxh64_intdigest(feature) % DIMENSIONS
+    return slot
+
+
+class _Reader:
+    """The candidates of one plain text, kind by kind."""
+
+    def __init__(self, text: str, names: Gazetteer) -> None:
+        self.text, self.names = text, names
+        self.out: list[Candidate] = []
+        self._starts: list[int] | None = None
+        self._ends: list[int] = []
+        self._title = (-1, False)
+
+    def journal(self, end: int) -> bool:
+        """Whether shortened words and a number follow. A row of such words is read once, however many names end in it."""
+        if end >= self._title[0]:
+            row = _SHORT.match(self.text, end)
+            if not row:
+                return False
+            self._title = (row.end(), bool(_VOLUME.match(self.text, row.end())))
+        return self._title[1]
+
+    def _words(self) -> list[int]:
+        if self._starts is None:
+            spans = [m.span() for m in _TEXT_WORD.finditer(self.text)]
+            self._starts, self._ends = map(list, zip(*spans, strict=True)) if spans else ([], [])
+        return self._starts
+
+    def before(self, start: int, n: int = 4) -> list[str]:
+        """The last n words before start, nearest first, in lower case."""
+        k = bisect_left(self._words(), start)
+        return [self.text[self._starts[i] : min(self._ends[i], start)].lower() for i in range(k - 1, max(-1, k - 1 - n), -1)]
+
+    def after(self, end: int, n: int = 2) -> list[str]:
+        """The first n words from end on, in lower case."""
+        k = bisect_left(self._words(), end)
+        if k and self._ends[k - 1] > end:  # in the middle of a word
+            rest = _TEXT_WORD.search(self.text, end, self._ends[k - 1])
+            if rest:
+                return [rest.group().lower(), *(self.text[self._starts[i] : self._ends[i]].lower() for i in range(k, min(len(self._starts), k + n - 1)))]
+        return [self.text[self._starts[i] : self._ends[i]].lower() for i in range(k, min(len(self._starts), k + n))]
+
+    def add(self, kind: str, start: int, end: int, votes: tuple[int, ...], features: Sequence[str], before: list[str] | None = None, after: list[str] | None = None, given: str | None = None, tail: str | None = None) -> None:
+        before = self.before(start) if before is None else before
+        after = self.after(end, 1) if after is None else after
+        if kind in _CONTEXT:
+            votes = (*votes, *_context(kind, before))
+        named = [f"{kind}|v{i}={v}" for i, v in enumerate(votes)]
+        named += (f"{kind}|before={before[0] if before else ''}", f"{kind}|next={after[0] if after else ''}", f"{kind}|bias")
+        named += (f"{kind}|{x}" for x in features)
+        self.out.append(Candidate(kind, start, end, votes, [_slot(x) for x in named], given, tail))
+
+    def emails(self) -> None:
+        text, names, done = self.text, self.names, 0
+        for sign in _SIGN.finditer(text):
+            at, behind = sign.span()
+            if text[at] in "aA":  # "x at lab dot org": the spaces belong to the sign
+                behind += 1
+            elif behind < len(text) and text[behind].isspace():
+                behind += 1
+            end = at - 1 if at > done and text[at - 1].isspace() else at
+            low = end
+            while low > done and (text[low - 1].isalnum() or text[low - 1] in "_.+%-"):
+                low -= 1
+            while low < end and not (text[low].isalnum() or text[low] == "_"):
+                low += 1
+            host = _HOST.match(text, behind)
+            if low == end or not host:
+                continue
+            labels = _LABELS.findall(_DOTS.sub(".", host.group()))
+            top, known = labels[-1], any(names.is_given(x) or names.is_surname(x) for x in re.split(r"[._+\-\d]+", text[low:end]))
+            named = top.isalpha() and len(top) > 1
+            done = host.end()
+            self.add("email", low, done, (_vote(len(labels) > 1 and named, True), _vote(any(c.isalpha() for x in labels[:-1] for c in x), not named), _vote(known)), (f"top={top.lower()}",))
+
+    def phones(self) -> None:
+        for m in _PHONE.finditer(self.text):
+            start, end = m.span()
+            if end - start < 7:
+                continue
+            s = m.group()
+            digits = sum(map(str.isdigit, s))
+            if digits < 7:
+                continue
+            short = digits <= _MOST_DIGITS
+            form = next((i for i, p in enumerate(_PHONE_FORMS) if p.match(s)), -1) if short else -1
+            own_id = short and any(p.match(s) for p in _ID_FORMS)
+            self.add("phone", start, end, (_vote(form >= 0, True), _vote(9 <= digits <= 15 and not own_id, not 8 <= digits <= 15 or own_id), _vote(s[0] in "+(")), (f"form={form}", f"shape={_shape(s)}"))
+
+    def id_numbers(self) -> bool:
+        """Identity numbers, by the runs of digits; whether any run stands where a German house number does."""
+        text, found, house = self.text, [], False
+        for m in _RUN.finditer(text):
+            at = m.start()
+            head = text[max(0, at - 9) : at]
+            if head[-1:] == " " and head[:-1].lower().endswith(_STREET_ENDS):
+                house = True
+            hit = None
+            lead = _ID_LEAD.search(text, max(0, at - 4), at) if head[-1:].isalpha() or head[-2:-1].isalpha() else None
+            if lead:
+                hit = _ID_LETTERS.match(text, lead.start())
+            if not hit and not (head and (head[-1].isalnum() or head[-1] in "_@/.-")):
+                hit = _ID_DIGITS.match(text, at)
+            if hit:
+                found.append(hit)
+        done = -1
+        for m in sorted(found, key=lambda m: m.start()):
+            if m.start() < done:
+                continue
+            done, s = m.end(), m.group()
+            form = next((i for i, p in enumerate(_ID_FORMS) if p.match(s)), -1)
+            few = sum(map(str.isdigit, s)) < 6 or bool(re.match(r"\d{4}-\d{4}$|\d{3}/\d{4}$", s))
+            self.add("id_number", m.start(), m.end(), (_vote(form >= 0, True), _vote(form in (0, 3), few)), (f"form={form}", f"head={re.match('[A-Za-z]*', s)[0].upper()}", f"shape={_shape(s)}"))
+        return house
+
+    def addresses(self, house: bool) -> None:
+        low = self.text.lower()
+        calle = any(w in low for w in _CALLES)
+        for i, pattern in enumerate(_STREETS):
+            if i == 2 and not calle or i == 3 and not house:
+                continue
+            for m in pattern.finditer(self.text):
+                post = bool(re.search(r"\b\d{4,5}\b", m.group()))
+                first = re.match(r"\d+[A-Za-z]?,? (\w+)", m.group())
+                common = bool(first) and first.group(1).lower() in _NOT_GIVEN
+                self.add("address", m.start(), m.end(), (_vote(True), _vote(post), _vote(not common, common)), (f"street={i}",))
+
+    def _inverse(self, tokens: list[tuple[int, int]], i: int) -> tuple[int, int] | None:
+        """Place of the given name behind "Surname, " at token i, if there is one."""
+        text, n = self.text, len(tokens)
+        if i + 1 >= n or text[tokens[i][1] : tokens[i + 1][0]] != ", ":
+            return None
+        start, end = tokens[i + 1]
+        if text[end - 1] != "." and i + 2 < n and text[end : tokens[i + 2][0]] == " " and text[tokens[i + 2][1] - 1] == "." and not self._runs_on(tokens[i + 2][1]):
+            return start, tokens[i + 2][1]
+        if self._runs_on(end):  # all but the part that runs on into something else
+            end = max(text.rfind(" ", start, end), text.rfind("-", start, end))
+        return (start, end) if end > start else None
+
+    def _runs_on(self, end: int) -> bool:
+        after = self.text[end : end + 1]
+        return after.isalnum() or after in ("_", "@")
+
+    def person_names(self) -> None:
+        text, names = self.text, self.names
+        tokens = [m.span() for m in _TOKEN.finditer(text)]
+        n, i, done = len(tokens), 0, 0
+        while i < n:
+            at, given_end = tokens[i]
+            is_word = text[given_end - 1] != "."
+            start, inverse, given = at, False, ""
+            if is_word and (back := self._inverse(tokens, i)):
+                inverse, sur_at = True, i
+                given, end = text[back[0] : back[1]], back[1]
+                part = _PART_BEFORE.search(text, max(done, at - 8), at)
+                if part:
+                    start = part.start()
+            else:
+                sur_at = i + 1
+                if is_word and sur_at + 1 < n and text[given_end : tokens[sur_at][0]] == " " and text[tokens[sur_at][1] - 1] == ".":
+                    given_end, sur_at = tokens[sur_at][1], sur_at + 1
+                if sur_at >= n or text[tokens[sur_at][1] - 1] == "." or text[given_end : tokens[sur_at][0]] not in _GAPS:
+                    i += 1
+                    continue
+                given, end = text[at:given_end], tokens[sur_at][1]
+            bare = text[tokens[sur_at][0] : tokens[sur_at][1]]
+            known, alike = names.is_surname(bare), names.like_surname(bare)
+            word = given.split(" ")[0]
+            start_given = word.casefold()
+            unlisted = not (known or alike)
+            if not inverse and " " in given and start_given in _NOT_GIVEN:  # "Mme P. Surname"
+                i += 1
+                continue
+            initials = given[1:2] == "."
+            is_given = names.is_given(word)
+            unlikely = not initials and (start_given in _NOT_GIVEN or names.like_surname(word) or (inverse and not is_given))
+            if not unlisted and not initials and not inverse and unlikely and not is_given and self._inverse(tokens, sur_at):
+                i = sur_at  # "The Surname": the surname opens "Surname, J."
+                continue
+            after, before = self.after(end), self.before(start)
+            grouped = bool(after) and after[0] in _GROUPS and not (after[0] == "et" and (len(after) < 2 or not after[1].startswith("al")))
+            joined = text[end : end + 1] in ("–", "@") or (text[end : end + 1] == "-" and text[end + 1 : end + 2].isalpha())
+            title = bool(before) and before[0] in _TITLES
+            person = bool(before) and before[0] in _PERSONS
+            if unlisted:
+                common = bare.casefold() in _NOT_GIVEN or bare.casefold() in _GROUPS
+                journal = initials and not inverse and self.journal(end)
+                is_given = is_given and not (before and before[0] in _ARTICLES)  # "the Rose Garden"
+                unlikely = unlikely or common or journal or not (is_given or initials or title or person)
+                joined = joined or common or journal
+                initials = initials and not journal
+            votes = (
+                UNLISTED if unlisted else _vote(known),
+                UNLISTED if unlisted else _vote(alike, True),
+                _vote(is_given or initials, start_given in _NOT_GIVEN),
+                _vote(False, unlikely),
+                _vote((title or unlisted and person) and not joined, (grouped and not is_given and not initials) or joined),
+            )
+            folded = bare.casefold()
+            kept = "I" if initials else start_given if is_given or start_given in _NOT_GIVEN else "other"
+            features = (f"tail={folded[-3:]}", f"tail4={folded[-4:]}", f"head={folded[:3]}", f"given={kept}", f"inverse={inverse}", f"caps={bare.isupper()}")
+            open_ = not initials and votes[2] == 0
+            self.add("name", start, end, votes, features, before, after, start_given if open_ else None, folded[-4:] if open_ and not inverse else None)
+            # a surname that turns out to be none of this given name may still belong to the next one
+            if unlisted:
+                i = i + 1 if inverse or is_word else sur_at
+            elif not unlikely or is_given or inverse:
+                i = bisect_left(tokens, (end, end))
+                done = end
+            else:
+                i = sur_at
 
 
 def candidates(text: str, names: Gazetteer) -> list[Candidate]:
@@ -194,91 +418,12 @@ def candidates(text: str, names: Gazetteer) -> list[Candidate]:
 
     Names with a surname that no list has are proposed too and may overlap others; the rest of a kind don't overlap.
     """
-    out: list[Candidate] = []
-    flat = text
-
-    def add(kind: str, start: int, end: int, votes: Sequence[int], extra: Sequence[str] = ()) -> None:
-        before, after = _before(flat, start), _after(flat, end)
-        yes, no = _context(kind, before) if kind in _CONTEXT else (0, 0)
-        all_votes = (*votes, yes, no) if kind in _CONTEXT else tuple(votes)
-        features = [f"before={before[0] if before else ''}", f"next={after[0] if after else ''}", *extra]
-        out.append(Candidate(kind, start, end, all_votes, features))
-
-    done = 0
-    for sign in _SIGN.finditer(flat):
-        low = max(done, sign.start() - _LOCAL_LENGTH)
-        own = _LOCAL.search(flat[low : sign.start()])
-        host = _HOST.match(flat, sign.end())
-        if not own or not host:
-            continue
-        labels = _LABELS.findall(_DOTS.sub(".", host.group()))
-        top, known = labels[-1], any(names.is_given(x) or names.is_surname(x) for x in re.split(r"[._+\-\d]+", own.group()))
-        named = top.isalpha() and len(top) > 1
-        done = host.end()
-        add("email", low + own.start(), done, (_vote(len(labels) > 1 and named, True), _vote(any(c.isalpha() for x in labels[:-1] for c in x), not named), _vote(known)), [f"top={top.lower()}"])
-    for m in _PHONE.finditer(flat):
-        digits = sum(c.isdigit() for c in m.group())
-        if digits < 7:
-            continue
-        form = next((i for i, p in enumerate(_PHONE_FORMS) if p.match(m.group())), -1)
-        own_id = any(p.match(m.group()) for p in _ID_FORMS)
-        add("phone", m.start(), m.end(), (_vote(form >= 0, True), _vote(9 <= digits <= 15 and not own_id, not 8 <= digits <= 15 or own_id), _vote(m.group()[0] in "+(", False)), [f"form={form}", f"shape={_shape(m.group())}"])
-    for m in _ID.finditer(flat):
-        form = next((i for i, p in enumerate(_ID_FORMS) if p.match(m.group())), -1)
-        add("id_number", m.start(), m.end(), (_vote(form >= 0, True), _vote(form in (0, 3), sum(c.isdigit() for c in m.group()) < 6 or bool(re.match(r"\d{4}-\d{4}$|\d{3}/\d{4}$", m.group())))), [f"form={form}", f"head={re.match('[A-Za-z]*', m.group())[0].upper()}", f"shape={_shape(m.group())}"])
-    for i, pattern in enumerate(_STREETS if _GERMAN.search(flat) else _STREETS[:-1]):
-        for m in pattern.finditer(flat):
-            post = bool(re.search(r"\b\d{4,5}\b", m.group()))
-            first = re.match(r"\d+[A-Za-z]?,? (\w+)", m.group())
-            common = bool(first) and first.group(1).lower() in _NOT_GIVEN
-            add("address", m.start(), m.end(), (_vote(True), _vote(post), _vote(not common, common)), [f"street={i}"])
-    pos = 0
-    while m := _NAME.search(flat, pos):
-        sur, given = m.group("sur") or m.group("sur2"), m.group("given") or m.group("given2")
-        inverse = m.group("sur2") is not None
-        # the particle belongs to the surname, not to its spelling
-        bare = sur.split(" ")[-1]
-        known = names.is_surname(bare)
-        alike = names.like_surname(bare)
-        word = given.split(" ")[0]
-        start_given = word.casefold()
-        unlisted = not (known or alike)
-        # one word on: the surname of this match may be the given name of the next
-        next_word = m.start() + max(1, len((m.group("sur2") if inverse else given).split(" ")[0]))
-        if not inverse and " " in given and start_given in _NOT_GIVEN:  # "Mme P. Surname"
-            pos = m.start() + len(word) + 1
-            continue
-        initials = bool(regex.fullmatch(_INITIALS, given))
-        is_given = names.is_given(word)
-        unlikely = not initials and (start_given in _NOT_GIVEN or names.like_surname(word) or (inverse and not is_given))
-        if not unlisted and not initials and not inverse and unlikely and not is_given:
-            # "The Surname": the surname may still open "Surname, J."
-            back = _NAME.match(flat, m.start("sur"))
-            if back and back.group("sur2") is not None:
-                pos = m.start("sur")
-                continue
-        after, before = _after(flat, m.end()), _before(flat, m.start())
-        grouped = bool(after) and after[0] in _GROUPS and not (after[0] == "et" and (len(after) < 2 or not after[1].startswith("al")))
-        joined = flat[m.end() : m.end() + 1] in ("–", "@") or bool(regex.match(r"-\p{L}", flat[m.end() : m.end() + 2]))
-        title = bool(before) and before[0] in _TITLES
-        if unlisted:
-            common = bare.casefold() in _NOT_GIVEN or bare.casefold() in _GROUPS
-            journal = initials and not inverse and bool(_JOURNAL.match(flat, m.end()))
-            is_given = is_given and not (before and before[0] in _ARTICLES)  # "the Rose Garden"
-            unlikely = unlikely or common or journal or not (is_given or initials or title)
-            joined = joined or common or journal
-            initials = initials and not journal
-        votes = (
-            UNLISTED if unlisted else _vote(known),
-            UNLISTED if unlisted else _vote(alike, True),
-            _vote(is_given or initials, start_given in _NOT_GIVEN),
-            _vote(False, unlikely),
-            _vote(title and not joined, (grouped and not is_given and not initials) or joined) if unlisted else _vote(title, (grouped and not is_given and not initials) or joined),
-        )
-        add("name", m.start(), m.end(), votes, [*_spelling(bare.casefold()), f"{'after' if inverse else 'direct'}={'' if initials else start_given}", f"given={'I' if initials else start_given if is_given or start_given in _NOT_GIVEN else 'other'}", f"inverse={inverse}", f"caps={sur.isupper()}"])
-        # a surname that turns out to be none of this given name may still belong to the next one
-        pos = next_word if unlisted else m.end() if not unlikely or is_given or inverse else m.start("sur")
-    return out
+    read = _Reader(text, names)
+    read.emails()
+    read.phones()
+    read.addresses(read.id_numbers())
+    read.person_names()
+    return read.out
 
 
 # --- estimation ---------------------------------------------------------------------------------------------------
@@ -307,12 +452,6 @@ def estimate(patterns: Sequence[tuple[tuple[int, ...], int]], rounds: int = 60,
     return {p: float(x) for (p, _), x in zip(patterns, posterior, strict=True)}
 
 
-def _slots(kind: str, votes: Sequence[int], features: Sequence[str]) -> list[int]:
-    """Places of a candidate's features in the weight vector."""
-    named = [f"{kind}|v{i}={v}" for i, v in enumerate(votes)] + [f"{kind}|{x}" for x in features if x[:6] not in ("after=", "direct")] + [f"{kind}|bias"]
-    return [xxhash.xxh64_intdigest(x) % DIMENSIONS for x in named]
-
-
 def train(slots: Sequence[Sequence[int]], labels: Sequence[float], rounds: int = 300, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
     """Weights of a logistic classifier for soft labels, by full-batch gradient steps with per-weight scaling."""
     flat = np.array([s for row in slots for s in row], np.int64)
@@ -330,45 +469,45 @@ def train(slots: Sequence[Sequence[int]], labels: Sequence[float], rounds: int =
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the span classifier, the gazetteer, and given names that the corpus showed in front of surnames."""
+    """Weights of the span classifier (a zero for no feature behind them), the gazetteer, and given names that the corpus showed in front of surnames.
+
+    learned is None where they are too many to be sent: they were joined to the candidates then.
+    """
 
     names: Gazetteer
     weights: np.ndarray
-    learned: frozenset[str] = frozenset()
+    learned: frozenset[str] | None = frozenset()
+
+    def accepts(self, kinds: np.ndarray, votes: np.ndarray, slots: np.ndarray, given: Sequence[str | None]) -> np.ndarray:
+        """Which of the candidates are places: kinds as numbers, coded votes, a row of slots each, given names to be looked up."""
+        score = self.weights[slots].sum(axis=1)
+        for i in np.flatnonzero(kinds == KINDS.index("name")).tolist():
+            if given[i] is not None and (self.learned is None or given[i] in self.learned):
+                old = uncoded(int(votes[i]))
+                score[i] += self._weight(2, 1) - self._weight(2, old[2]) + self._weight(3, 0) - self._weight(3, old[3])
+        return score > 0
 
-    def accepts(self, kind: str, votes: Sequence[int], features: Sequence[str]) -> bool:
-        votes = tuple(votes)
-        if kind == "name" and votes[2] == 0 and next((f[6:] for f in features if f.startswith("after=")), "") in self.learned:
-            votes = (*votes[:2], 1, 0, *votes[4:])
-        return float(self.weights[_slots(kind, votes, features)].sum()) > 0
+    def _weight(self, labeler: int, vote: int) -> float:
+        return float(self.weights[_slot(f"name|v{labeler}={vote}")])
 
 
 def resolve(spans: Iterable[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Accepted (start, end, kind) without overlaps, in order: kinds before later kinds, then longer places first."""
-    rank = {k: i for i, k in enumerate(("email", "address", "id_number", "phone", "name"))}
     kept: list[tuple[int, int, str]] = []
-    for s in sorted(spans, key=lambda s: (rank[s[2]], s[0] - s[1], s[0])):
+    for s in sorted(spans, key=lambda s: (_RANK[s[2]], s[0] - s[1], s[0])):
         i = bisect_left(kept, s)
         if (i == 0 or kept[i - 1][1] <= s[0]) and (i == len(kept) or s[1] <= kept[i][0]):
             kept.insert(i, s)
     return kept
 
 
-def spans_of(text: str | None, model: Model) -> list[tuple[int, int, str]]:
-    """Places of one text, in code points of it."""
-    if not text:
-        return []
-    read = plain(text)
-    found = [(c.start, c.end, c.kind) for c in candidates(read.text, model.names) if model.accepts(c.kind, c.votes, c.features)]
-    return [(read.source(a), read.source_end(b), kind) for a, b, kind in resolve(found)]
+_RANK = {k: i for i, k in enumerate(("email", "address", "id_number", "phone", "name"))}
 
 
-def replaced(text: str | None, model: Model) -> str | None:
-    """The text with [KIND] in each place."""
-    if not text:
-        return text
+def replaced(text: str, spans: Iterable[tuple[int, int, str]]) -> str:
+    """The text with [KIND] in each of the spans, which are in order and don't overlap."""
     out, done = [], 0
-    for a, b, kind in spans_of(text, model):
+    for a, b, kind in spans:
         out += [text[done:a], f"[{kind.upper()}]"]
         done = b
     return "".join([*out, text[done:]])
@@ -376,8 +515,28 @@ def replaced(text: str | None, model: Model) -> str | None:
 
 # --- operators ----------------------------------------------------------------------------------------------------
 
-_CANDIDATES = "doc_id bigint, cands array<struct<kind:string,start:int,end:int,source_start:int,source_end:int,votes:array<int>,features:array<string>>>"
-_CAND_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("source_start", pa.int32()), ("source_end", pa.int32()), ("votes", pa.list_(pa.int32())), ("features", pa.list_(pa.string()))]))
+#: One row per text, its candidates in parallel arrays; given is set where the given name is open, tail where it may be learned from.
+_FOUND = "rid bigint, doc_id bigint, text string, kind array<tinyint>, start array<int>, end array<int>, votes array<int>, slots array<array<smallint>>, given array<string>, tail array<string>"
+_TYPES = {"kind": pa.int8(), "start": pa.int32(), "end": pa.int32(), "votes": pa.int32(), "slots": pa.list_(pa.int16()), "given": pa.string(), "tail": pa.string()}
+#: Votes of -1, 0, 1 and UNLISTED as digits of a number of this base.
+_BASE = 4
+
+
+def coded(votes: Sequence[int]) -> int:
+    """Votes as one number."""
+    code = 1
+    for v in reversed(votes):
+        code = code * _BASE + v + 1
+    return code
+
+
+def uncoded(code: int) -> tuple[int, ...]:
+    """The votes of coded."""
+    out = []
+    while code > 1:
+        code, v = divmod(code, _BASE)
+        out.append(v - 1)
+    return tuple(out)
 
 
 def gazetteer(names: DataFrame, name: str = "name_part", kind: str = "part_kind") -> Gazetteer:
@@ -388,59 +547,123 @@ def gazetteer(names: DataFrame, name: str = "name_part", kind: str = "part_kind"
     return Gazetteer((n for n, k in rows if k == "given"), (n for n, k in rows if k == "surname"))
 
 
-def pii_candidates(docs: DataFrame, names: Gazetteer, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, cands) of every text with candidates."""
+def pii_candidates(docs: DataFrame, names: Gazetteer, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The candidates of every text that has any, their places in code points of the text as it is.
+
+    With keep_text every text comes out, those without candidates, empty and NULL ones too.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(names)
 
     def propose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                ids, lists = [], []
+                rows: list[tuple[int, int | None, str | None, int]] = []
+                flat: list[tuple] = []
                 for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    read = plain(t)
-                    own = [{"kind": c.kind, "start": c.start, "end": c.end, "source_start": read.source(c.start), "source_end": read.source_end(c.end), "votes": list(c.votes), "features": c.features} for c in candidates(read.text, sent.value)]
-                    if own:
-                        ids.append(i)
-                        lists.append(own)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, _CAND_TYPE)], ["doc_id", "cands"])
+                    number += 1
+                    read = plain(t) if t else None
+                    own = candidates(read.text, sent.value) if read else []
+                    if own or keep_text:
+                        rows.append((number, i, t if keep_text else None, len(own)))
+                        flat += _flat(read, own)
+                offsets = pa.array(np.concatenate([[0], np.cumsum([r[3] for r in rows], dtype=np.int64)]).astype(np.int32))
+                columns = [pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.string()))]
+                lists = zip(*flat, strict=True) if flat else [()] * len(_TYPES)
+                columns += [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in zip(lists, _TYPES.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "text", *_TYPES])
 
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return read.where("text <> ''").mapInArrow(propose, _CANDIDATES)
+    return (read if keep_text else read.where("text <> ''")).mapInArrow(propose, _FOUND)
 
 
-def fit(found: DataFrame, names: Gazetteer, sample: int = SAMPLE_PER_PATTERN) -> Model:
-    """The model for candidates found in the whole corpus: reliabilities from all vote counts, weights from a sample.
+def _flat(read: Plain | None, own: list[Candidate]) -> Iterator[tuple]:
+    for c in own:
+        yield KINDS.index(c.kind), read.source(c.start), read.source_end(c.end), coded(c.votes), c.slots, c.given, c.tail
 
-    The vote patterns are at most 3 to the number of a kind's labelers. The sample takes a share of each pattern's
+
+def fit(found: DataFrame, names: Gazetteer, sample: int = SAMPLE_PER_PATTERN, max_names: int = MAX_NAMES) -> tuple[Model, DataFrame]:
+    """The model for candidates found in the whole corpus: reliabilities from all vote counts, weights from a sample; and the candidates to decide on.
+
+    The vote patterns are at most 4 to the number of a kind's labelers. The sample takes a share of each pattern's
     candidates by their hash, so that about `sample` of each are expected; its size is bounded by patterns x sample.
+    Given names learned are sent to the tasks, or, of more than max_names, joined: then given is left only where it was learned.
     """
-    each = found.select("doc_id", F.explode("cands").alias("c")).select("doc_id", "c.*")
-    counted = [(r.kind, tuple(r.votes), r.n) for r in each.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()]
-    truth: dict[tuple[str, tuple[int, ...]], float] = {}
+    each = found.select("rid", F.explode(F.arrays_zip("kind", "votes", "start", "slots")).alias("c")).select("rid", "c.*")
+    counted = [(KINDS[r.kind], r.votes, r.n) for r in each.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()]
+    truth: dict[tuple[str, int], float] = {}
     for kind in KINDS:
-        own = sorted((v, n) for k, v, n in counted if k == kind)
+        own = sorted((uncoded(v), n) for k, v, n in counted if k == kind)
         if own:
-            truth |= {(kind, v): p for v, p in estimate(own).items()}
+            truth |= {(kind, coded(v)): p for v, p in estimate(own).items()}
     if not truth:
-        return Model(names, np.zeros(DIMENSIONS))
+        return Model(names, np.zeros(DIMENSIONS + 1)), found
     spark = found.sparkSession
-    share = F.broadcast(spark.createDataFrame([(k, list(v), min(1.0, sample / n)) for k, v, n in counted], "kind string, votes array<int>, share double"))
-    drawn = each.join(share, ["kind", "votes"]).where(F.pmod(F.xxhash64("doc_id", "start", "kind"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
-    rows = sorted((r.kind, tuple(r.votes), tuple(r.features)) for r in drawn.select("kind", "votes", "features").collect())
-    return Model(names, train([_slots(*r) for r in rows], [truth[r[:2]] for r in rows]), _learned(each))
+    share = F.broadcast(spark.createDataFrame([(KINDS.index(k), v, min(1.0, sample / n)) for k, v, n in counted], "kind tinyint, votes int, share double"))
+    drawn = each.join(share, ["kind", "votes"]).where(F.pmod(F.xxhash64("rid", "start", "kind"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    rows = sorted((r.kind, r.votes, tuple(r.slots)) for r in drawn.select("kind", "votes", "slots").collect())
+    weights = np.append(train([s for _, _, s in rows], [truth[KINDS[k], v] for k, v, _ in rows]), 0.0)
+    learned = _learned(found)
+    few = [r.g for r in learned.limit(max_names + 1).collect()]
+    if len(few) <= max_names:
+        return Model(names, weights, frozenset(few)), found
+    return Model(names, weights, None), _only_learned(found, learned)
+
+
+def _learned(found: DataFrame) -> DataFrame:
+    """(g): words in no list that are given names by the pairs they open in the whole corpus, candidates without any surname known included.
+
+    A share of at least one half, at the lower end of its interval (Wilson's) for CERTAINTY, must have a surname that is
+    listed or alike and nothing against it. A rate, so that it says the same in corpora of any size once a word is seen often enough.
+    """
+    pairs = found.select(F.explode(F.arrays_zip("kind", "votes", "given", "tail")).alias("c")).where("c.tail IS NOT NULL").select("c.*")
+    vote = lambda i: F.pmod(F.floor(F.col("votes") / _BASE**i), F.lit(_BASE)) - 1
+    good = (vote(0) != UNLISTED) & (vote(3) == 0) & (vote(4) >= 0)
+    counted = pairs.groupBy(F.col("given").alias("g")).agg(F.count(F.lit(1)).alias("n"), F.count_if(good).alias("k"))
+    return counted.where(_lower_bound(F.col("k"), F.col("n")) >= 0.5).select("g")
 
 
-def _learned(each: DataFrame) -> frozenset[str]:
-    """Given names that are in no list but stand, nothing speaking against it, before surnames of several spellings.
+def _lower_bound(k: Column, n: Column, z: float = CERTAINTY) -> Column:
+    """Lower end of Wilson's interval of a share k / n."""
+    p = k / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def _only_learned(found: DataFrame, learned: DataFrame) -> DataFrame:
+    """found, with given kept only where it is among the learned names; only rows' numbers and open given names are shuffled before."""
+    open_ = found.select("rid", F.posexplode("given").alias("at", "g")).where("g IS NOT NULL")
+    kept = open_.join(learned, "g", "left_semi").groupBy("rid").agg(F.collect_set("at").alias("__kept"))
+    held = F.coalesce("__kept", F.array().cast("array<int>"))
+    given = F.transform("given", lambda g, i: F.when(F.array_contains(held, i), g))
+    return found.join(kept, "rid", "left").withColumn("given", given).drop("__kept")
 
-    Counted over all candidates; of more than MAX_NAMES, the most frequent are taken.
-    """
-    direct = F.filter("features", lambda x: x.startswith("direct="))[0]
-    tail = F.filter("features", lambda x: x.startswith("tail4="))[0]
-    open_ = each.where((F.col("kind") == "name") & (F.col("votes")[0] != UNLISTED) & (F.col("votes")[2] == 0) & (F.col("votes")[3] == 0) & (F.col("votes")[4] >= 0))
-    counted = open_.select(F.substring(direct, 8, 200).alias("g"), tail.alias("t")).where("g <> ''").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("t").alias("k"))
-    return frozenset(r.g for r in counted.where(f"k >= {LEARNED_FROM}").orderBy(F.desc("n"), "g").limit(MAX_NAMES).collect())
+
+def _accepted(found: DataFrame, model: Model, finish, schema: str, columns: Sequence[str]) -> DataFrame:
+    """finish(doc_ids, texts, places of each row) on every batch of found."""
+    sent = found.sparkSession.sparkContext.broadcast(model)
+
+    def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            ends = np.asarray(col["kind"].offsets)  # offsets of a slice count from its parent's first value
+            cut = slice(int(ends[0]), int(ends[-1]))
+            flat = {n: col[n].values[cut] if n == "given" else np.asarray(col[n].values[cut]) for n in ("kind", "start", "end", "votes", "given")}
+            lists = col["slots"].values[cut]
+            slots = np.full((len(lists), SLOTS), DIMENSIONS, np.int32)
+            sizes = np.diff(np.asarray(lists.offsets))
+            slots[np.arange(SLOTS) < sizes[:, None]] = np.asarray(lists.flatten())
+            yes = sent.value.accepts(flat["kind"], flat["votes"], slots, flat["given"].to_pylist())
+            places = []
+            taken = np.flatnonzero(yes)
+            row = np.searchsorted(ends - ends[0], taken, "right") - 1
+            first = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            spans = list(zip(flat["start"][taken].tolist(), flat["end"][taken].tolist(), [KINDS[k] for k in flat["kind"][taken].tolist()], strict=True))
+            for a, b in pairwise(first.tolist()):
+                places.append(resolve(set(spans[a:b])) if b - a > 1 else spans[a:b])
+            yield finish(col["doc_id"], col["text"] if "text" in col else None, places)
+
+    return found.select(*columns, "kind", "start", "end", "votes", "slots", "given").mapInArrow(decide, schema)
 
 
 def pii_places(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -450,35 +673,27 @@ def pii_places(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text:
     gazetteer names have nothing but titles, initials and context to speak for them. Empty docs give no rows; other columns are not read.
     """
     known = gazetteer(names)
-    found = materialize(pii_candidates(docs, known, doc_id, text), "pii-candidates")
-    sent = docs.sparkSession.sparkContext.broadcast(fit(found, known))
+    model, found = fit(materialize(pii_candidates(docs, known, doc_id, text), "pii-candidates"), known)
 
-    def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, str, int, int]] = []
-            for i, cands in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                taken = {(c["start"], c["end"], c["kind"]): (c["source_start"], c["source_end"]) for c in cands if sent.value.accepts(c["kind"], c["votes"], c["features"])}
-                out += [(i, s[2], *taken[s]) for s in resolve(taken)]
-            columns = list(zip(*out, strict=True)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "pii_kind", "span_start", "span_end"])
+    def finish(ids: pa.Array, _: pa.Array | None, places: list[list[tuple[int, int, str]]]) -> pa.RecordBatch:
+        out = [(i, kind, a, b) for i, own in zip(ids.to_pylist(), places, strict=True) for a, b, kind in own]
+        columns = list(zip(*out, strict=True)) if out else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "pii_kind", "span_start", "span_end"])
 
-    return found.mapInArrow(decide, "doc_id bigint, pii_kind string, span_start int, span_end int")
+    return _accepted(found, model, finish, "doc_id bigint, pii_kind string, span_start int, span_end int", ["doc_id"])
 
 
 def redact(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, n_places): each text with a typed placeholder, such as [EMAIL], in each place, the rest unchanged.
 
-    NULL and empty texts stay as they are. The model is fitted on the same docs, in a pass before.
+    NULL and empty texts stay as they are. Texts are written to the shared folder with their candidates, so that the
+    patterns run once on each; the model is fitted on the same docs.
     """
     known = gazetteer(names)
-    model = fit(materialize(pii_candidates(docs, known, doc_id, text), "pii-candidates"), known)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    model, found = fit(materialize(pii_candidates(docs, known, doc_id, text, keep_text=True), "pii-candidates"), known)
 
-    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            n = [len(spans_of(t, sent.value)) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([replaced(t, sent.value) for t in texts], pa.string()), pa.array(n, pa.int32())], ["doc_id", "text", "n_places"])
+    def finish(ids: pa.Array, texts: pa.Array | None, places: list[list[tuple[int, int, str]]]) -> pa.RecordBatch:
+        written = [replaced(t, own) if own else t for t, own in zip(texts.to_pylist(), places, strict=True)]
+        return pa.RecordBatch.from_arrays([ids, pa.array(written, pa.string()), pa.array(map(len, places), pa.int32())], ["doc_id", "text", "n_places"])
 
-    read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return read.mapInArrow(write, "doc_id bigint, text string, n_places int")
+    return _accepted(found, model, finish, "doc_id bigint, text string, n_places int", ["doc_id", "text"])
