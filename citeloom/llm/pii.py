@@ -13,10 +13,12 @@ names are read off a row of tokens instead of being searched from each place.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import pairwise
+from functools import lru_cache
+from itertools import islice, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -203,14 +205,17 @@ def _slot(feature: str) -> int:
     return slot
 
 
+@lru_cache(maxsize=10_000)
+def _vote_slots(kind: str, votes: tuple[int, ...]) -> list[int]:
+    return [_slot(f"{kind}|bias"), *(_slot(f"{kind}|v{i}={v}") for i, v in enumerate(votes))]
+
+
 class _Reader:
     """The candidates of one plain text, kind by kind."""
 
     def __init__(self, text: str, names: Gazetteer) -> None:
         self.text, self.names = text, names
         self.out: list[Candidate] = []
-        self._starts: list[int] | None = None
-        self._ends: list[int] = []
         self._title = (-1, False)
 
     def journal(self, end: int) -> bool:
@@ -222,35 +227,28 @@ class _Reader:
             self._title = (row.end(), bool(_VOLUME.match(self.text, row.end())))
         return self._title[1]
 
-    def _words(self) -> list[int]:
-        if self._starts is None:
-            spans = [m.span() for m in _TEXT_WORD.finditer(self.text)]
-            self._starts, self._ends = map(list, zip(*spans, strict=True)) if spans else ([], [])
-        return self._starts
-
     def before(self, start: int, n: int = 4) -> list[str]:
         """The last n words before start, nearest first, in lower case."""
-        k = bisect_left(self._words(), start)
-        return [self.text[self._starts[i] : min(self._ends[i], start)].lower() for i in range(k - 1, max(-1, k - 1 - n), -1)]
+        width = 15 * n
+        while True:  # the first word of a stretch may have lost its head, so one more is wanted
+            low = max(0, start - width)
+            found = _TEXT_WORD.findall(self.text, low, start)
+            if len(found) > n or low == 0:
+                return [w.lower() for w in found[: -n - 1 : -1]]
+            width *= 4
 
     def after(self, end: int, n: int = 2) -> list[str]:
         """The first n words from end on, in lower case."""
-        k = bisect_left(self._words(), end)
-        if k and self._ends[k - 1] > end:  # in the middle of a word
-            rest = _TEXT_WORD.search(self.text, end, self._ends[k - 1])
-            if rest:
-                return [rest.group().lower(), *(self.text[self._starts[i] : self._ends[i]].lower() for i in range(k, min(len(self._starts), k + n - 1)))]
-        return [self.text[self._starts[i] : self._ends[i]].lower() for i in range(k, min(len(self._starts), k + n))]
+        return [m.group().lower() for m in islice(_TEXT_WORD.finditer(self.text, end), n)]
 
     def add(self, kind: str, start: int, end: int, votes: tuple[int, ...], features: Sequence[str], before: list[str] | None = None, after: list[str] | None = None, given: str | None = None, tail: str | None = None) -> None:
         before = self.before(start) if before is None else before
         after = self.after(end, 1) if after is None else after
         if kind in _CONTEXT:
             votes = (*votes, *_context(kind, before))
-        named = [f"{kind}|v{i}={v}" for i, v in enumerate(votes)]
-        named += (f"{kind}|before={before[0] if before else ''}", f"{kind}|next={after[0] if after else ''}", f"{kind}|bias")
-        named += (f"{kind}|{x}" for x in features)
-        self.out.append(Candidate(kind, start, end, votes, [_slot(x) for x in named], given, tail))
+        slots = [*_vote_slots(kind, votes), _slot(f"{kind}|before={before[0] if before else ''}"), _slot(f"{kind}|next={after[0] if after else ''}")]
+        slots += [_slot(f"{kind}|{x}") for x in features]
+        self.out.append(Candidate(kind, start, end, votes, slots, given, tail))
 
     def emails(self) -> None:
         text, names, done = self.text, self.names, 0
@@ -517,12 +515,12 @@ def replaced(text: str, spans: Iterable[tuple[int, int, str]]) -> str:
 
 #: One row per text, its candidates in parallel arrays; given is set where the given name is open, tail where it may be learned from.
 _FOUND = "rid bigint, doc_id bigint, text string, kind array<tinyint>, start array<int>, end array<int>, votes array<int>, slots array<array<smallint>>, given array<string>, tail array<string>"
-_TYPES = {"kind": pa.int8(), "start": pa.int32(), "end": pa.int32(), "votes": pa.int32(), "slots": pa.list_(pa.int16()), "given": pa.string(), "tail": pa.string()}
 #: Votes of -1, 0, 1 and UNLISTED as digits of a number of this base.
 _BASE = 4
 
 
-def coded(votes: Sequence[int]) -> int:
+@lru_cache(maxsize=10_000)
+def coded(votes: tuple[int, ...]) -> int:
     """Votes as one number."""
     code = 1
     for v in reversed(votes):
@@ -559,28 +557,59 @@ def pii_candidates(docs: DataFrame, names: Gazetteer, doc_id: str = "doc_id", te
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                rows: list[tuple[int, int | None, str | None, int]] = []
-                flat: list[tuple] = []
+                rows = _Rows(keep_text)
                 for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     number += 1
                     read = plain(t) if t else None
-                    own = candidates(read.text, sent.value) if read else []
-                    if own or keep_text:
-                        rows.append((number, i, t if keep_text else None, len(own)))
-                        flat += _flat(read, own)
-                offsets = pa.array(np.concatenate([[0], np.cumsum([r[3] for r in rows], dtype=np.int64)]).astype(np.int32))
-                columns = [pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.string()))]
-                lists = zip(*flat, strict=True) if flat else [()] * len(_TYPES)
-                columns += [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in zip(lists, _TYPES.values(), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "text", *_TYPES])
+                    rows.put(number, i, t, read, candidates(read.text, sent.value) if read else [])
+                yield rows.batch()
 
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return (read if keep_text else read.where("text <> ''")).mapInArrow(propose, _FOUND)
 
 
-def _flat(read: Plain | None, own: list[Candidate]) -> Iterator[tuple]:
-    for c in own:
-        yield KINDS.index(c.kind), read.source(c.start), read.source_end(c.end), coded(c.votes), c.slots, c.given, c.tail
+class _Rows:
+    """Columns of _FOUND, filled row by row."""
+
+    def __init__(self, keep_text: bool) -> None:
+        self.keep_text = keep_text
+        self.rid: list[int] = []
+        self.doc_id: list[int | None] = []
+        self.text: list[str | None] = []
+        self.ends = array("i", [0])
+        self.numbers = {n: array("i") for n in ("kind", "start", "end", "votes", "slots")}
+        self.slot_ends = array("i", [0])
+        self.given: list[str | None] = []
+        self.tail: list[str | None] = []
+
+    def put(self, rid: int, doc_id: int | None, text: str | None, read: Plain | None, own: list[Candidate]) -> None:
+        if not own and not self.keep_text:
+            return
+        self.rid.append(rid)
+        self.doc_id.append(doc_id)
+        self.text.append(text if self.keep_text else None)
+        to = self.numbers
+        for kind, start, end, votes, slots, given, tail in own:
+            to["kind"].append(_NUMBER[kind])
+            to["start"].append(read.source(start))
+            to["end"].append(read.source_end(end))
+            to["votes"].append(coded(votes))
+            to["slots"].extend(slots)
+            self.slot_ends.append(len(to["slots"]))
+            self.given.append(given)
+            self.tail.append(tail)
+        self.ends.append(len(self.given))
+
+    def batch(self) -> pa.RecordBatch:
+        flat: dict[str, pa.Array] = {n: pa.array(np.frombuffer(v, np.int32) if len(v) else [], pa.int32()) for n, v in self.numbers.items()}
+        flat |= {"kind": flat["kind"].cast(pa.int8()), "slots": pa.ListArray.from_arrays(pa.array(self.slot_ends, pa.int32()), flat["slots"].cast(pa.int16()))}
+        flat |= {"given": pa.array(self.given, pa.string()), "tail": pa.array(self.tail, pa.string())}
+        ends = pa.array(self.ends, pa.int32())
+        own = [pa.array(self.rid, pa.int64()), pa.array(self.doc_id, pa.int64()), pa.array(self.text, pa.string())]
+        return pa.RecordBatch.from_arrays([*own, *(pa.ListArray.from_arrays(ends, v) for v in flat.values())], ["rid", "doc_id", "text", *flat])
+
+
+_NUMBER = {k: i for i, k in enumerate(KINDS)}
 
 
 def fit(found: DataFrame, names: Gazetteer, sample: int = SAMPLE_PER_PATTERN, max_names: int = MAX_NAMES) -> tuple[Model, DataFrame]:

@@ -7,12 +7,13 @@ import re
 import unicodedata
 from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import chain
 
 
-def _classes(categories: str, first: int = 0, last: int = 0xE01FF) -> list[str]:
-    """The characters of each general category named, for use between brackets in a pattern; none lies beyond last."""
+def _classes(categories: str, *spans: range) -> list[str]:
+    """The characters of each general category named, for use between brackets in a pattern."""
     runs: dict[str, list[list[int]]] = {c: [] for c in categories.split()}
-    for i in range(first, last + 1):
+    for i in chain(*spans):
         own = runs.get(unicodedata.category(chr(i)))
         if own is None:
             continue
@@ -24,9 +25,10 @@ def _classes(categories: str, first: int = 0, last: int = 0xE01FF) -> list[str]:
 
 
 # Bitmaps serve a class of the first 65,536 characters; every further range costs a comparison a character.
-_HIDDEN, UPPER, *_MARKS = _classes("Cf Lu Mn Mc Me", last=0xFFFF)
+_NEAR = range(0x10000)
+_HIDDEN, UPPER, *_MARKS = _classes("Cf Lu Mn Mc Me", _NEAR)
 _FAR = "\U00010000-\U0010ffff"
-_HIDDEN_ALL, *_MARKS_ALL = _classes("Cf Mn Mc Me")
+_HIDDEN_ALL, *_MARKS_ALL = _classes("Cf Mn Mc Me", _NEAR, range(0x10000, 0x20000), range(0xE0000, 0xE0200))  # the other planes have none
 #: Where something other than ordinary characters and single spaces may begin, in texts of ASCII and in others.
 _START_ASCII = re.compile(r"[ \t-\r\x1c-\x1f&<*](?:(?<! )|(?=\s))")
 _START = re.compile(rf"[ \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000&<*{_HIDDEN}{''.join(_MARKS)}{_FAR}](?:(?<! )|(?=\s))")
