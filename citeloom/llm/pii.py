@@ -99,7 +99,7 @@ _AGAINST = {
 _CONTEXT = {k: (frozenset(_FOR[k].split()), frozenset(_AGAINST[k].split())) for k in _FOR}
 #: Words that open a sentence or stand before a surname without being a given name.
 _NOT_GIVEN = frozenset("the as a an in by to of for from with and or but if when our we both das der die den dem des ein eine wie und oder nach laut von bei mit según el la los las un una y como por con d après selon le les une et de du comme par avec dr prof mr mrs ms herr frau mme mlle sr sra señor señora thanks dank contact contacto see siehe voir véase signed reviewed reprints section table figure journal acta proceedings letters review archive institute university".split())
-_TITLES = frozenset("dr prof professor mr mrs ms herr frau mme mlle sr sra señor señora herrn".split())
+_TITLES = frozenset("dr dra prof professor professeur profesor profesora mr mrs ms herr herrn frau m mme mlle sr sra señor señora".split())
 _ARTICLES = frozenset("a an the".split())
 #: Words behind a surname that make it the name of something else.
 _GROUPS = frozenset("institute institut instituto collaboration group gruppe grupo groupe lemma theorem university universität et working detector archive review letters journal".split())

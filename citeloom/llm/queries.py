@@ -1,19 +1,33 @@
-"""Queries p6 to p8 and their SQL."""
+"""Queries p2 and p6 to p8, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions.ids import canonical_from_key, keyed
 from citeloom.llm.leakage import WINDOW, leaked_items
 from citeloom.llm.packing import pack_texts
 from citeloom.llm.pii import pii_places, redact
+from citeloom.llm.threshold_topk import threshold_topk
+from citeloom.plans.data_queries import sql_canonical
 from citeloom.session import table
 
 #: Tokens of a container in the queries.
 CAPACITY = 2048
 
 
+def p2_top_cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 works with the most rows in merge_rows, with their counts."""
+    top = threshold_topk(keyed(table(spark, sf_dir, "merge_rows").select("cited_id"), "cited_id", "__work"), canonical_from_key(F.col("__work")), 20)
+    return top.select(F.col("item").alias("cited_id"), "n")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 works with the most rows in merge_rows."""
+    return p2_top_cited(spark, sf_dir).select("cited_id")
+
+
 def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every text, or piece of a text, of documents."""
     return pack_texts(table(spark, sf_dir, "documents"), CAPACITY)
@@ -44,7 +58,9 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact(table(spark, sf_dir, "documents"), table(spark, sf_dir, "known_names"))
 
 
-QUERIES = {"p6_pack": p6_pack, "p6_containers": p6_containers, "p7_found": p7_found, "p7_overlaps": p7_overlaps, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p2_found": p2_found, "p2_top_cited": p2_top_cited, "p6_pack": p6_pack, "p6_containers": p6_containers, "p7_found": p7_found, "p7_overlaps": p7_overlaps, "p8_found": p8_found, "p8_redacted": p8_redacted}
+
+_TOP = f"SELECT {{}} FROM (SELECT {sql_canonical('cited_id')} AS cited_id, CAST(count(*) AS BIGINT) AS n FROM merge_rows GROUP BY 1) x WHERE cited_id IS NOT NULL ORDER BY n DESC, cited_id LIMIT 20"
 
-#: None of these can be stated in SQL: they need a tokenizer, Unicode forms of words, or a trained classifier.
-ORACLE: dict[str, str] = {}
+#: The others can't be stated in SQL: they need a tokenizer, Unicode forms of words, or a trained classifier.
+ORACLE: dict[str, str] = {"p2_found": _TOP.format("cited_id"), "p2_top_cited": _TOP.format("cited_id, n")}
