@@ -1,4 +1,4 @@
-"""Queries p1 to p5: the operators over whole tables, and their SQL."""
+"""Queries p1 and p3 to p5: the operators over whole tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from citeloom.operators.eager_join_agg import Measure, distinct_rows, eager_join
 from citeloom.operators.nested_tables import nested_rows, nested_table
 from citeloom.operators.orphans import latest_parents, orphan_references
 from citeloom.operators.snapshot_diff import snapshot_changes
-from citeloom.operators.threshold_topk import threshold_topk
 from citeloom.session import table
 
 
@@ -48,17 +47,6 @@ def p1_join_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.groupBy("run_id", "provenance").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("sum_reported").alias("sum_reported"))
 
 
-def p2_top_cited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 works with the most rows in merge_rows, with their counts."""
-    top = threshold_topk(keyed(table(spark, sf_dir, "merge_rows").select("cited_id"), "cited_id", "__work"), canonical_from_key(F.col("__work")), 20)
-    return top.select(F.col("item").alias("cited_id"), "n")
-
-
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 works with the most rows in merge_rows."""
-    return p2_top_cited(spark, sf_dir).select("cited_id")
-
-
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """String fields doi-asserted-by and unstructured of every reference."""
     fields = nested_table(nested_rows(table(spark, sf_dir, "work_files"), "record_no", "file_name", "raw_json", ["fields"]), "fields")
@@ -105,8 +93,6 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_citation_counts": p1_citation_counts,
     "p1_join_totals": p1_join_totals,
-    "p2_found": p2_found,
-    "p2_top_cited": p2_top_cited,
     "p3_found": p3_found,
     **{f"p3_{n}": _p3_table(n) for n in ("files", "items", "references", "fields")},
     "p4_found": p4_found,
@@ -136,7 +122,6 @@ r AS (SELECT run_id, cited_id, citation_count AS reported_count FROM (
     FROM (SELECT run_id, citation_count, produced_at, record_no, {sql_canonical("doi")} AS cited_id FROM cited_records) y WHERE cited_id IS NOT NULL) z WHERE k = 1),
 counts AS (SELECT run_id, cited_id, coalesce(true_count, 0) AS true_count, reported_count FROM t FULL JOIN r USING (run_id, cited_id))
 """
-_TOP = f"SELECT {{}} FROM (SELECT {sql_canonical('cited_id')} AS cited_id, CAST(count(*) AS BIGINT) AS n FROM merge_rows GROUP BY 1) x WHERE cited_id IS NOT NULL ORDER BY n DESC, cited_id LIMIT 20"
 _ORPHANS = f"""
 WITH p AS (SELECT key, registered_at, removed_at FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY delivered_at DESC, record_no DESC) AS k
     FROM (SELECT record_no, registered_at, removed_at, delivered_at, {sql_key("id")} AS key FROM id_records) x WHERE key IS NOT NULL) y WHERE k = 1),
@@ -176,8 +161,6 @@ ORACLE = {
     "p1_citation_counts": _COUNTS + "SELECT * FROM counts",
     "p1_found": _COUNTS + "SELECT run_id, cited_id FROM counts WHERE reported_count IS NULL OR reported_count <> true_count",
     "p1_join_totals": _JOINED,
-    "p2_found": _TOP.format("cited_id"),
-    "p2_top_cited": _TOP.format("cited_id, n"),
     "p4_found": _ORPHANS + "SELECT * FROM lost",
     "p4_orphan_report": _ORPHANS + "SELECT src_table, period_ym, CAST(count(*) AS BIGINT) AS n_orphans FROM lost GROUP BY 1, 2",
     "p5_membership": _DAYS,

@@ -1,14 +1,12 @@
-"""The operators of p1 to p5 against brute force, and their edge cases."""
+"""The operators of p1 and p3 to p5 against brute force, and their edge cases."""
 
 from __future__ import annotations
 
 import json
-from collections import Counter, defaultdict
+from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -17,7 +15,6 @@ from citeloom.operators.eager_join_agg import Measure, eager_join_aggregate
 from citeloom.operators.nested_tables import ShapeAutomaton, nested_rows, nested_table, reference_variant
 from citeloom.operators.orphans import latest_parents, orphan_references
 from citeloom.operators.snapshot_diff import snapshot_changes
-from citeloom.operators.threshold_topk import threshold_topk
 from tests.conftest import rows
 
 T = datetime(2025, 1, 1)
@@ -53,35 +50,6 @@ def test_hot_key_reaches_the_join_as_one_state(spark):
     assert rows(eager_join_aggregate(hot, hot, ["k"], [Measure("pairs", "n"), Measure("sum", "s", "left", "v")])) == [("hot", 9_000_000, 3000 * sum(range(3000)))]
 
 
-# --- p2
-
-
-@pytest.mark.parametrize("chunk", [7, 64, 100_000])
-def test_topk_equals_counting(spark, chunk):
-    values = [f"v{int((i * 7919 % 1000) ** 0.5)}" for i in range(3000)] + ["hot"] * 900 + [None] * 50 + [""] * 40
-    frame = spark.createDataFrame([(v,) for v in values], "item string").repartition(5)
-    want = sorted(Counter(v for v in values if v is not None).items(), key=lambda x: (-x[1], x[0]))[:10]
-    assert [tuple(r) for r in threshold_topk(frame, F.col("item"), 10, chunk).collect()] == want
-
-
-def test_topk_ties_and_few(spark):
-    frame = spark.createDataFrame([(v,) for v in "bbaacc"], "x string")
-    assert [tuple(r) for r in threshold_topk(frame, F.col("x"), 2).collect()] == [("a", 2), ("b", 2)]
-    assert len(threshold_topk(frame, F.col("x"), 99).collect()) == 3
-    assert threshold_topk(frame.limit(0), F.col("x"), 3).collect() == []
-    assert threshold_topk(spark.createDataFrame([(None,)], "x string"), F.col("x"), 3).collect() == []
-    with pytest.raises(ValueError):
-        threshold_topk(frame, F.col("x"), 0)
-
-
-@settings(max_examples=8, deadline=None)
-@given(st.lists(st.sampled_from([f"k{i}" for i in range(30)]), min_size=1, max_size=400), st.integers(1, 12), st.integers(1, 90))
-def test_topk_any(spark, values, k, chunk):
-    frame = spark.createDataFrame([(v,) for v in values], "x string").repartition(3)
-    want = sorted(Counter(values).items(), key=lambda x: (-x[1], x[0]))[:k]
-    assert [tuple(r) for r in threshold_topk(frame, F.col("x"), k, chunk).collect()] == want
-
-
 # --- p3
 
 
