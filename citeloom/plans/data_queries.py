@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.ids import canonical_from_key, doi_key, keyed
 from citeloom.operators.eager_join_agg import Measure, distinct_rows, eager_join_aggregate
-from citeloom.operators.nested_tables import nested_rows, nested_table
+from citeloom.operators.nested_tables import KNOWN, REFERENCE_VARIANTS, is_typed, nested_rows, nested_table, typed_columns, variants_with
 from citeloom.operators.orphans import latest_parents, orphan_references
 from citeloom.operators.snapshot_diff import snapshot_changes
 from citeloom.session import table
@@ -48,9 +48,11 @@ def p1_join_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """String fields doi-asserted-by and unstructured of every reference."""
-    fields = nested_table(nested_rows(table(spark, sf_dir, "work_files"), "record_no", "file_name", "raw_json", ["fields"]), "fields")
-    return fields.where(F.col("field_name").isin("doi-asserted-by", "unstructured") & (F.col("kind") == "string")).select("record_no", "item_pos", "ref_pos", "field_name")
+    """String fields doi-asserted-by and unstructured of every reference, from the typed tables of the variants that can have them."""
+    fields = ("doi-asserted-by", "unstructured")
+    rows = nested_rows(table(spark, sf_dir, "work_files"), "record_no", "file_name", "raw_json", variants_with(*fields), ["typed"])
+    names = F.array_compact(F.array(*(F.when(is_typed(f), F.lit(f)) for f in fields)))
+    return rows.select("record_no", "item_pos", "ref_pos", F.explode(names).alias("field_name"))
 
 
 def _p3_table(name: str):
@@ -61,6 +63,24 @@ def _p3_table(name: str):
     return query
 
 
+def _without_shape(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _p3_table(name)(spark, sf_dir).drop("shape", "typed")
+
+    query.__doc__ = f"The flat table {name} without the numbers of its shapes, which SQL can't make."
+    return query
+
+
+def p3_leaf_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of references that are no lists or objects."""
+    return _p3_table("fields")(spark, sf_dir).where("kind NOT IN ('list', 'object')")
+
+
+def p3_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many references each variant has, and in how many shapes."""
+    return _p3_table("references")(spark, sf_dir).groupBy("variant").agg(F.count(F.lit(1)).alias("n_references"), F.countDistinct("shape").alias("n_shapes"))
+
+
 def _p4_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     one = lambda name: keyed(table(spark, sf_dir, name).select("cited_id", "written_at", "row_no"), "cited_id", "key").select(F.lit(name).alias("src_table"), "key", "written_at", "row_no")
     records = keyed(table(spark, sf_dir, "id_records").select("id", "registered_at", "removed_at", "delivered_at", "record_no"), "id", "key")
@@ -94,7 +114,13 @@ QUERIES = {
     "p1_citation_counts": p1_citation_counts,
     "p1_join_totals": p1_join_totals,
     "p3_found": p3_found,
-    **{f"p3_{n}": _p3_table(n) for n in ("files", "items", "references", "fields")},
+    "p3_files": _p3_table("files"),
+    "p3_items": _without_shape("items"),
+    "p3_references": _without_shape("references"),
+    "p3_fields": _p3_table("fields"),
+    "p3_leaf_fields": p3_leaf_fields,
+    "p3_shapes": p3_shapes,
+    **{f"p3_{n}": _without_shape(n) for n, _ in REFERENCE_VARIANTS},
     "p4_found": p4_found,
     "p4_orphan_report": p4_orphan_report,
     "p5_found": p5_found,
@@ -146,18 +172,51 @@ GROUP BY l.run_id, l.provenance
 """
 
 _NESTED = """
-WITH f AS (SELECT record_no, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM work_files),
+WITH f AS (SELECT record_no, file_name, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM work_files),
 i AS (SELECT record_no, item_pos, json_extract(j, '$.items[' || item_pos || ']') AS item FROM (
   SELECT record_no, j, CAST(unnest(range(CAST(json_array_length(j, '$.items') AS BIGINT))) AS INTEGER) AS item_pos FROM f WHERE json_type(j, '$.items') = 'ARRAY') x),
 r AS (SELECT record_no, item_pos, ref_pos, json_extract(item, '$.reference[' || ref_pos || ']') AS ref FROM (
   SELECT record_no, item_pos, item, CAST(unnest(range(CAST(json_array_length(item, '$.reference') AS BIGINT))) AS INTEGER) AS ref_pos FROM i WHERE json_type(item, '$.reference') = 'ARRAY') y),
 n AS (SELECT unnest(['doi-asserted-by', 'unstructured']) AS field_name)
-SELECT record_no, item_pos, ref_pos, field_name FROM r, n WHERE json_type(ref) = 'OBJECT' AND json_type(ref, '$."' || field_name || '"') = 'VARCHAR'
 """
 
-#: The tables of p3 and p5_found have none, as SQL can't compare JSON values or hash shapes. They are tested against brute force.
+
+def _kind(kind: str) -> str:
+    """SQL of kind_of, for a type as json_type names it."""
+    return f"CASE {kind} WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'string' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'object' ELSE 'number' END"
+
+
+def _string(field: str) -> str:
+    """SQL of a field of ref if it is a string, else NULL."""
+    return f"""CASE WHEN json_type(ref, '$."{field}"') = 'VARCHAR' THEN json_extract_string(ref, '$."{field}"') END"""
+
+
+_ITS = {f: f.lower().replace("-", "_") for f in KNOWN}
+_VARIANT = "CASE " + " ".join(f"WHEN {' AND '.join(f'{_ITS[f]} IS NOT NULL' for f in fields)} THEN '{name}'" for name, fields in REFERENCE_VARIANTS if fields) + " ELSE 'other' END"
+_REFS = (
+    _NESTED.rstrip()
+    + f""",
+s AS (SELECT *, {", ".join(f"{_string(f)} AS {c}" for f, c in _ITS.items())} FROM r),
+t AS (SELECT *, CASE WHEN json_type(ref) = 'OBJECT' THEN {_VARIANT} ELSE {_kind("json_type(ref)")} END AS variant FROM s)
+"""
+)
+_P3 = {
+    "p3_found": _NESTED + """SELECT record_no, item_pos, ref_pos, field_name FROM r, n WHERE json_type(ref) = 'OBJECT' AND json_type(ref, '$."' || field_name || '"') = 'VARCHAR'""",
+    "p3_files": _NESTED + f"""SELECT record_no, file_name, CASE WHEN j IS NULL THEN 'broken' WHEN json_type(j) <> 'OBJECT' THEN {_kind("json_type(j)")} WHEN json_type(j, '$.items') IS NULL THEN 'items_absent'
+      ELSE 'items_' || {_kind("json_type(j, '$.items')")} END AS variant, CAST(CASE WHEN json_type(j, '$.items') = 'ARRAY' THEN json_array_length(j, '$.items') ELSE 0 END AS INTEGER) AS n_items FROM f""",
+    "p3_items": _NESTED + f"""SELECT record_no, item_pos, CASE WHEN json_type(item, '$.DOI') = 'VARCHAR' THEN json_extract_string(item, '$.DOI') END AS doi,
+      CASE WHEN json_type(item) <> 'OBJECT' THEN {_kind("json_type(item)")} WHEN json_type(item, '$.reference') IS NULL THEN 'references_absent' ELSE 'references_' || {_kind("json_type(item, '$.reference')")} END AS variant,
+      CAST(CASE WHEN json_type(item, '$.reference') = 'ARRAY' THEN json_array_length(item, '$.reference') ELSE 0 END AS INTEGER) AS n_references FROM i""",
+    "p3_references": _REFS + f"SELECT record_no, item_pos, ref_pos, variant, {', '.join(_ITS.values())} FROM t",
+    "p3_leaf_fields": _REFS + f""", k AS (SELECT record_no, item_pos, ref_pos, variant, ref, unnest(json_keys(ref)) AS field_name FROM t WHERE json_type(ref) = 'OBJECT'),
+      v AS (SELECT *, json_extract(ref, '$."' || field_name || '"') AS x FROM k)
+      SELECT record_no, item_pos, ref_pos, variant, field_name, {_kind("json_type(x)")} AS kind, json_extract_string(x, '$') AS value FROM v WHERE json_type(x) NOT IN ('ARRAY', 'OBJECT')""",
+    **{f"p3_{n}": _REFS + f"SELECT record_no, item_pos, ref_pos, {', '.join(_ITS[f] for f in typed_columns(n))} FROM t WHERE variant = '{n}' AND json_type(ref) = 'OBJECT'" for n, _ in REFERENCE_VARIANTS},
+}
+
+#: p3_fields, p3_shapes and p5_found have none, as SQL can't compare JSON values, spell nested ones or number shapes. They are tested against brute force.
 ORACLE = {
-    "p3_found": _NESTED,
+    **_P3,
     "p1_citation_counts": _COUNTS + "SELECT * FROM counts",
     "p1_found": _COUNTS + "SELECT run_id, cited_id FROM counts WHERE reported_count IS NULL OR reported_count <> true_count",
     "p1_join_totals": _JOINED,

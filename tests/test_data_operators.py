@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from citeloom.functions.jsonvalue import EMPTY, value_digest
 from citeloom.operators.eager_join_agg import Measure, eager_join_aggregate
-from citeloom.operators.nested_tables import ShapeAutomaton, nested_rows, nested_table, reference_variant
+from citeloom.operators.nested_tables import KNOWN, REFERENCE_VARIANTS, TABLES, ShapeAutomaton, is_typed, nested_rows, nested_table, typed_columns, variants_with
 from citeloom.operators.orphans import latest_parents, orphan_references
 from citeloom.operators.snapshot_diff import snapshot_changes
 from tests.conftest import rows
@@ -79,7 +79,37 @@ def test_nested_tables(spark):
     fields = {(r.record_no, r.ref_pos, r.field_name): (r.kind, r.value) for r in nested_table(all_rows, "fields").collect()}
     assert fields[(1, 4, "unstructured")] == ("number", "5") and fields[(1, 5, "unstructured")] == ("string", "") and fields[(8, 0, "unstructured")] == ("string", "�")
     assert fields[(8, 0, "nested")] == ("object", '{"unstructured": "no"}') and fields[(8, 0, "doi-asserted-by")] == ("null", None)
-    assert reference_variant(nested_table(all_rows, "references"), "asserted").columns == ["record_no", "item_pos", "ref_pos", "shape", "doi", "doi_asserted_by"]
+
+
+def test_typed_tables_hold_every_object_once(spark):
+    names = [n for n, _ in REFERENCE_VARIANTS]
+    all_rows = _nested(spark, [*TABLES, *names])
+    refs = {(r.record_no, r.item_pos, r.ref_pos): r for r in nested_table(all_rows, "references").collect()}
+    seen = {}
+    for name, required in REFERENCE_VARIANTS:
+        own = nested_table(all_rows, name)
+        assert own.columns == ["record_no", "item_pos", "ref_pos", "shape", "typed", *(f.lower().replace("-", "_") for f in typed_columns(name))]
+        for r in own.collect():
+            key = (r.record_no, r.item_pos, r.ref_pos)
+            assert key not in seen and refs[key].variant == name and refs[key].shape == r.shape
+            seen[key] = {f for i, f in enumerate(KNOWN) if r.typed >> i & 1}
+            assert set(required) <= seen[key] <= set(typed_columns(name))
+            assert all((refs[key][f.lower().replace("-", "_")] is not None) == (f in seen[key]) for f in KNOWN)
+            assert all(r[f.lower().replace("-", "_")] == refs[key][f.lower().replace("-", "_")] for f in typed_columns(name))
+    assert seen.keys() == {k for k, r in refs.items() if r.variant in names}
+    assert variants_with("DOI") == ["asserted", "linked"] and variants_with("doi-asserted-by") == ["asserted", "unstructured", "titled", "serial", "web", "other"]
+    pruned = nested_rows(spark.createDataFrame(FILES, "record_no bigint, file_name string, raw_json string"), "record_no", "file_name", "raw_json", names, ["typed", "doi"])
+    assert pruned.columns == ["table_name", "record_no", "item_pos", "ref_pos", "typed", "doi"] and pruned.where(is_typed("DOI")).count() == pruned.where("doi IS NOT NULL").count() == 1
+
+
+def test_numbers_are_kept_as_written_and_depth_is_no_bound(spark):
+    numbers = ["9" * 6000, "1e400", "0.12345678901234567890", "-0.0", "1E+2"]
+    deep = '{"x":' * 3000 + "1" + "}" * 3000
+    doc = '{"items":[{"reference":[{"n":%s},{"l":[%s]},%s]}]}' % (numbers[0], ",".join(numbers), deep)
+    got = nested_rows(spark.createDataFrame([(1, "f", doc)], "record_no bigint, file_name string, raw_json string"), "record_no", "file_name", "raw_json", ["fields", "items", "references"])
+    values = {r.field_name: r.value for r in nested_table(got, "fields").collect()}
+    assert values["n"] == numbers[0] and values["l"] == "[" + ", ".join(numbers) + "]" and values["x"] == deep[5:-1].replace(":", ": ")
+    assert nested_table(got, "references").count() == 3
 
 
 def test_every_row_has_its_parent(spark, data):
