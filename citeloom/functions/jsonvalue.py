@@ -1,11 +1,12 @@
-"""JSON values: a digest that is equal exactly for equal values, and a strict parse on the JVM side."""
+"""JSON values: a digest that is equal for equal values, and a strict parse on the JVM side."""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
-from decimal import Decimal, InvalidOperation
+from decimal import MAX_EMAX, Context, Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,15 +30,34 @@ def with_variant(df: DataFrame, text: Column, out: str) -> DataFrame:
     return once.withColumn(out, F.when(ended, F.try_variant_get("__whole", "$.v", "variant"))).drop("__mark", "__whole")
 
 
+_LITERAL = re.compile(r"(-?)(\d+)(?:\.(\d+))?(?:[eE]([+-]?\d+))?")
+
+
+class _Exact:
+    """A number by its digits without zeros at either end, and its exponent: equal exactly for equal numbers."""
+
+    __slots__ = ("text",)
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+
+
 def _number(text: str) -> object:
-    """A number as its exact value: 1, 1.0 and 1e0 are one."""
-    try:
-        value = Decimal(text)
-    except InvalidOperation:
-        return text
-    if value.is_finite() and value.adjusted() < 400 and value == value.to_integral_value():
-        return int(value)
-    return value.normalize()
+    """A number as its exact value: 1, 1.0 and 1e0 are one. No digit and no exponent is too many."""
+    if len(text) < 16 and text.lstrip("-").isdigit():
+        return int(text)
+    sign, whole, part, power = _LITERAL.fullmatch(text).groups()
+    digits = (whole + (part or "")).lstrip("0")
+    if not digits:
+        return 0
+    bare = digits.rstrip("0")
+    shift = len(digits) - len(bare) - len(part or "")
+    # Decimal, as int() reads and str() writes a few thousand digits only
+    wide = Context(prec=len(power or "") + 20, Emax=MAX_EMAX)
+    exponent = wide.add(wide.create_decimal(power or "0"), Decimal(shift))
+    if 0 <= exponent < 16 and len(bare) + int(exponent) < 16:
+        return int(sign + bare + "0" * int(exponent))
+    return _Exact(f"{sign}{bare}e{exponent:f}")
 
 
 def _refuse(text: str) -> object:
@@ -45,14 +65,14 @@ def _refuse(text: str) -> object:
 
 
 def _present(pairs: dict) -> dict:
-    return {k: v for k, v in pairs.items() if v is not None}
+    return {"\0" + k if k[:1] == "\0" else k: v for k, v in pairs.items() if v is not None}
 
 
 _DECODER = json.JSONDecoder(object_hook=_present, parse_float=_number, parse_int=_number, parse_constant=_refuse)
 
 
-def _written(value: object) -> dict:
-    return {"\x00number": str(value)}
+def _written(value: _Exact) -> dict:
+    return {"\0": value.text}  # no object of a document has this name alone, see _present
 
 
 def value_digest(text: str | None) -> int:

@@ -2,8 +2,9 @@
 
 Every row becomes (snapshot, key, 64-bit digest of its content). A leaf of the tree is a range of the keys'
 hashes; its digest is the XOR of its rows' hashes with their count, so it needs no order and has a partial
-aggregate. Inner nodes hash their children. Consecutive snapshots are compared from the root down: only
-children of nodes that differ are looked at, and only rows of leaves that differ are compared as rows.
+aggregate. Inner nodes hash their children. Consecutive snapshots are compared from the root down: of each level
+only the children of nodes that differ are read, which are cut out of the level before its two snapshots meet, and
+only rows of leaves that differ are compared as rows.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.jsonvalue import digest_batches
-from citeloom.session import materialize
+from citeloom.session import bounded_broadcast, materialize
 
 #: Rows of a leaf to aim at, and the bits by which one level of the tree is finer than the one above.
 LEAF_ROWS = 32
 FAN_BITS = 5
+#: Nodes that differ which may be broadcast to cut their children out of the next level; beyond it that join shuffles.
+BROADCAST_NODES = 500_000
 
 
 def content_digests(snapshots: DataFrame, snapshot: str, key: Column, json: str, delivered: str) -> DataFrame:
@@ -34,24 +37,39 @@ def content_digests(snapshots: DataFrame, snapshot: str, key: Column, json: str,
 
 
 def _levels(rows: DataFrame, depth: int) -> list[DataFrame]:
-    """(snapshot, node, digest) of each level, the root first."""
+    """(snapshot, node, digest) of each level, the root first. Each level is kept: the levels above it and the descent read it."""
     leaf = rows.groupBy("snapshot", "node").agg(F.xxhash64(F.bit_xor(F.xxhash64("key", "digest")), F.count(F.lit(1))).alias("digest"))
     levels = [materialize(leaf, "merkle-leaves")]
     for _ in range(depth):
         children = F.array_sort(F.collect_list(F.struct("node", "digest")))  # 2 ** FAN_BITS at most
-        levels.insert(0, levels[0].groupBy("snapshot", F.shiftright("node", FAN_BITS).alias("parent")).agg(F.xxhash64(children).alias("digest")).withColumnRenamed("parent", "node"))
+        above = levels[0].groupBy("snapshot", F.shiftright("node", FAN_BITS).alias("parent")).agg(F.xxhash64(children).alias("digest"))
+        levels.insert(0, materialize(above.withColumnRenamed("parent", "node"), "merkle-level"))
     return levels
 
 
-def _differing(pairs: DataFrame, level: DataFrame, within: DataFrame | None) -> DataFrame:
-    """(snapshot, before, node) where the two snapshots' digests differ, among children of the nodes in within."""
-    now = pairs.join(level, "snapshot")
-    was = pairs.join(level.withColumnRenamed("snapshot", "before"), "before").select("snapshot", "before", "node", F.col("digest").alias("old"))
-    both = now.join(was, ["snapshot", "before", "node"], "full").where(~F.col("digest").eqNullSafe(F.col("old"))).select("snapshot", "before", "node")
+def _side(pairs: DataFrame, level: DataFrame, side: str, within: DataFrame | None) -> DataFrame:
+    """(snapshot, before, node, digest) of one side of each pair of snapshots, of all nodes or of the children of the nodes in within."""
+    own = level.withColumnRenamed("snapshot", side)
     if within is None:
-        return both
-    up = within.withColumnRenamed("node", "parent")
-    return both.withColumn("parent", F.shiftright("node", FAN_BITS)).join(up, ["snapshot", "before", "parent"], "left_semi").select("snapshot", "before", "node")
+        return own.join(pairs, side).select("snapshot", "before", "node", "digest")
+    up, _ = bounded_broadcast(within.withColumnRenamed("node", "parent"), BROADCAST_NODES)
+    return own.withColumn("parent", F.shiftright("node", FAN_BITS)).join(up, [side, "parent"]).select("snapshot", "before", "node", "digest")
+
+
+def level_pairs(pairs: DataFrame, level: DataFrame, within: DataFrame | None) -> DataFrame:
+    """(snapshot, before, node, new, old): the digests of both sides of each node that is looked at."""
+    both = _side(pairs, level, "snapshot", within).select("snapshot", "before", "node", F.col("digest").alias("new"), F.lit(None).cast("bigint").alias("old"))
+    both = both.unionByName(_side(pairs, level, "before", within).select("snapshot", "before", "node", F.lit(None).cast("bigint").alias("new"), F.col("digest").alias("old")))
+    return both.groupBy("snapshot", "before", "node").agg(F.max("new").alias("new"), F.max("old").alias("old"))
+
+
+def _differing(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(snapshot, before, node) of the leaves whose digests differ, found from the root down. The nodes of each level that differ are kept."""
+    found = None
+    for level in levels:
+        differ = level_pairs(pairs, level, found).where(~F.col("new").eqNullSafe(F.col("old"))).select("snapshot", "before", "node")
+        found = materialize(differ, "merkle-nodes-that-differ")
+    return found
 
 
 def snapshot_changes(snapshots: DataFrame, snapshot: str, key: Column, json: str, delivered: str, leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -69,10 +87,7 @@ def snapshot_changes(snapshots: DataFrame, snapshot: str, key: Column, json: str
     largest = rows.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 0
     depth = max(1, math.ceil(math.log2(max(2, largest / leaf_rows)) / FAN_BITS))
     rows = rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("key"), 64 - depth * FAN_BITS))
-    found = None
-    for level in _levels(rows, depth):
-        found = _differing(pairs, level, found)
-    found = materialize(found, "merkle-leaves-that-differ")
+    found, _ = bounded_broadcast(_differing(pairs, _levels(rows, depth)), BROADCAST_NODES)
     # each row of a differing leaf once as the pair's newer and once as its older side
     newer = rows.join(found, ["snapshot", "node"]).select("snapshot", "key", F.col("digest").alias("new"), F.lit(None).cast("bigint").alias("old"))
     older = rows.withColumnRenamed("snapshot", "before").join(found, ["before", "node"]).select("snapshot", "key", F.lit(None).cast("bigint").alias("new"), F.col("digest").alias("old"))

@@ -14,7 +14,7 @@ from citeloom.functions.jsonvalue import EMPTY, value_digest
 from citeloom.operators.eager_join_agg import Measure, eager_join_aggregate
 from citeloom.operators.nested_tables import KNOWN, REFERENCE_VARIANTS, TABLES, ShapeAutomaton, is_typed, nested_rows, nested_table, typed_columns, variants_with
 from citeloom.operators.orphans import latest_parents, orphan_references
-from citeloom.operators.snapshot_diff import snapshot_changes
+from citeloom.operators.snapshot_diff import _levels, level_pairs, snapshot_changes
 from tests.conftest import rows
 
 T = datetime(2025, 1, 1)
@@ -191,6 +191,32 @@ def test_value_digest():
     assert value_digest("[" * 100_000) != EMPTY and value_digest("[" + "9" * 6000 + "]") == value_digest("[" + "9" * 6000 + ".0]")
 
 
+@pytest.mark.parametrize(
+    ("a", "b", "same"),
+    [
+        ("0.12345678901234567890123456789012", "0.12345678901234567890123456789013", False), ("9" * 402, "9" * 401 + "8", False), ("9" * 6000, "1" + "0" * 6000, False), ("1e400", "1e401", False), ("1e" + "9" * 5000, "1e" + "9" * 4999 + "8", False),
+        ("1" + "0" * 6000, "1e6000", True), ("1e" + "9" * 5000, "10e" + "9" * 4999 + "8", True), ("1234567890123456", "1.234567890123456E+15", True), ("-0", "0.0e7", True), ("1.50", "15e-1", True), ('{"\\u0000":"15e-1"}', "1.5", False), ('"1"', "1", False),
+    ],
+)
+def test_numbers_are_compared_exactly(a, b, same):
+    assert (value_digest(f"[{a}]") == value_digest(f"[{b}]")) is same
+
+
+def test_few_nodes_are_looked_at(spark):
+    """One altered row of 100,000: the root, and 32 nodes of every level below it."""
+    day = spark.range(100_000).select(F.col("id").cast("string").alias("key"), F.xxhash64("id").alias("digest"))
+    rows_ = day.select(F.lit("1").alias("snapshot"), "*").unionByName(day.select(F.lit("2").alias("snapshot"), "key", F.when(F.col("key") == "77", 5).otherwise(F.col("digest")).alias("digest")))
+    depth = 3
+    rows_ = rows_.withColumn("node", F.shiftrightunsigned(F.xxhash64("key"), 64 - depth * 5))
+    pairs = spark.createDataFrame([("2", "1")], "snapshot string, before string")
+    found, seen = None, []
+    for level in _levels(rows_, depth):
+        both = level_pairs(pairs, level, found).cache()
+        seen.append(both.count())
+        found = both.where("new <> old").select("snapshot", "before", "node")
+    assert seen == [1, 32, 32, 32] and found.count() == 1
+
+
 def _snapshots(spark, values):
     return spark.createDataFrame(values, "day string, k string, j string, d timestamp").withColumns({"node": F.lit(1), "snapshot": F.lit("x"), "digest": F.lit(0)})
 
