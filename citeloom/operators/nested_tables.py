@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.session import spread
+
 #: Fields of a reference with columns of their own.
 KNOWN = ("DOI", "URL", "unstructured", "article-title", "journal-title", "doi-asserted-by")
 #: Objects of more shapes than this make an automaton forget its memo and go on; the states stay the same.
@@ -343,7 +345,7 @@ def nested_rows(docs: DataFrame, record_no: str, file_name: str, raw_json: str,
     """
     read = docs.select(F.col(record_no).cast("bigint"), F.col(file_name).cast("string"), F.col(raw_json).cast("string"))
     schema = ", ".join(["table_name string", *(f"`{c}` {t}" for c, t in _columns(tables, columns).items())])
-    return read.mapInArrow(_flattener(tables, columns), schema)
+    return spread(read).mapInArrow(_flattener(tables, columns), schema)
 
 
 def nested_table(rows: DataFrame, name: str) -> DataFrame:

@@ -2,26 +2,25 @@
 
 Every row becomes (snapshot, key, 64-bit digest of its content). A leaf of the tree is a range of the keys'
 hashes; its digest is the XOR of its rows' hashes with their count, so it needs no order and has a partial
-aggregate. Inner nodes hash their children. Consecutive snapshots are compared from the root down: of each level
-only the children of nodes that differ are read, which are cut out of the level before its two snapshots meet, and
-only rows of leaves that differ are compared as rows.
+aggregate. An inner node's digest is made of those of the leaves below it in the same way. Consecutive snapshots are
+compared from the root's children down: of each level only the children of nodes that differ are read, which are cut
+out of the level before its two snapshots meet, and only rows of leaves that differ are compared as rows.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.jsonvalue import digest_batches
-from citeloom.session import bounded_broadcast, materialize
+from citeloom.session import materialize, spread
 
 #: Rows of a leaf to aim at, and the bits by which one level of the tree is finer than the one above.
 LEAF_ROWS = 32
 FAN_BITS = 5
-#: Nodes that differ which may be broadcast to cut their children out of the next level; beyond it that join shuffles.
-BROADCAST_NODES = 500_000
 
 
 def content_digests(snapshots: DataFrame, snapshot: str, key: Column, json: str, delivered: str) -> DataFrame:
@@ -32,19 +31,18 @@ def content_digests(snapshots: DataFrame, snapshot: str, key: Column, json: str,
     key's rows, as many as there may be, shrink in the map-side aggregate.
     """
     rows = snapshots.select(F.col(snapshot).cast("string").alias("snapshot"), key.alias("key"), F.col(json).cast("string").alias("json"), F.col(delivered).cast("timestamp").alias("delivered"))
-    rows = rows.where("snapshot IS NOT NULL AND key IS NOT NULL").mapInArrow(digest_batches, "snapshot string, key string, digest bigint, delivered timestamp")
+    rows = spread(rows.where("snapshot IS NOT NULL AND key IS NOT NULL")).mapInArrow(digest_batches, "snapshot string, key string, digest bigint, delivered timestamp")
     return rows.groupBy("snapshot", "key").agg(F.max(F.struct("delivered", "digest")).alias("last")).select("snapshot", "key", F.col("last.digest").alias("digest"))
 
 
 def _levels(rows: DataFrame, depth: int) -> list[DataFrame]:
-    """(snapshot, node, digest) of each level, the root first. Each level is kept: the levels above it and the descent read it."""
-    leaf = rows.groupBy("snapshot", "node").agg(F.xxhash64(F.bit_xor(F.xxhash64("key", "digest")), F.count(F.lit(1))).alias("digest"))
-    levels = [materialize(leaf, "merkle-leaves")]
-    for _ in range(depth):
-        children = F.array_sort(F.collect_list(F.struct("node", "digest")))  # 2 ** FAN_BITS at most
-        above = levels[0].groupBy("snapshot", F.shiftright("node", FAN_BITS).alias("parent")).agg(F.xxhash64(children).alias("digest"))
-        levels.insert(0, materialize(above.withColumnRenamed("parent", "node"), "merkle-level"))
-    return levels
+    """(snapshot, node, digest) of each level, that of the root's children first: one pass for the leaves, and one over the leaves for all others."""
+    leaves = materialize(rows.groupBy("snapshot", "node").agg(F.xxhash64(F.bit_xor(F.xxhash64("key", "digest")), F.count(F.lit(1))).alias("digest")), "merkle-leaves")
+    if depth == 1:
+        return [leaves]
+    each = leaves.select("snapshot", F.xxhash64("node", "digest").alias("h"), F.explode(F.array(*(F.struct(F.lit(i).alias("level"), F.shiftright("node", FAN_BITS * (depth - i)).alias("node")) for i in range(1, depth)))).alias("at"))
+    inner = materialize(each.groupBy("snapshot", "at.level", "at.node").agg(F.xxhash64(F.bit_xor("h"), F.count(F.lit(1))).alias("digest")), "merkle-inner-nodes")
+    return [*(inner.where(F.col("level") == i).drop("level") for i in range(1, depth)), leaves]
 
 
 def _side(pairs: DataFrame, level: DataFrame, side: str, within: DataFrame | None) -> DataFrame:
@@ -52,7 +50,7 @@ def _side(pairs: DataFrame, level: DataFrame, side: str, within: DataFrame | Non
     own = level.withColumnRenamed("snapshot", side)
     if within is None:
         return own.join(pairs, side).select("snapshot", "before", "node", "digest")
-    up, _ = bounded_broadcast(within.withColumnRenamed("node", "parent"), BROADCAST_NODES)
+    up = within.withColumnRenamed("node", "parent")  # a written table: Spark broadcasts it where its size on disk allows, else it shuffles
     return own.withColumn("parent", F.shiftright("node", FAN_BITS)).join(up, [side, "parent"]).select("snapshot", "before", "node", "digest")
 
 
@@ -81,13 +79,14 @@ def snapshot_changes(snapshots: DataFrame, snapshot: str, key: Column, json: str
     per comparison, as keys are compared themselves and only digests of one key meet.
     """
     rows = materialize(content_digests(snapshots, snapshot, key, json, delivered), "snapshot-digests")
-    present = snapshots.where(F.col(snapshot).isNotNull()).select(F.col(snapshot).cast("string").alias("snapshot")).distinct()
-    # one row per snapshot: the window's single task is as small as that
-    pairs = F.broadcast(present.withColumn("before", F.lag("snapshot").over(Window.orderBy("snapshot"))).where("before IS NOT NULL"))
+    days = sorted(r[0] for r in snapshots.select(F.col(snapshot).cast("string")).distinct().where(F.col(snapshot).isNotNull()).collect())  # one row per snapshot
+    if len(days) < 2:
+        return rows.limit(0).select("snapshot", "key", F.lit("").alias("change_type"))
+    pairs = F.broadcast(snapshots.sparkSession.createDataFrame(list(pairwise(days)), "before string, snapshot string"))
     largest = rows.groupBy("snapshot").count().agg(F.max("count")).first()[0] or 0
     depth = max(1, math.ceil(math.log2(max(2, largest / leaf_rows)) / FAN_BITS))
     rows = rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("key"), 64 - depth * FAN_BITS))
-    found, _ = bounded_broadcast(_differing(pairs, _levels(rows, depth)), BROADCAST_NODES)
+    found = _differing(pairs, _levels(rows, depth))
     # each row of a differing leaf once as the pair's newer and once as its older side
     newer = rows.join(found, ["snapshot", "node"]).select("snapshot", "key", F.col("digest").alias("new"), F.lit(None).cast("bigint").alias("old"))
     older = rows.withColumnRenamed("snapshot", "before").join(found, ["before", "node"]).select("snapshot", "key", F.lit(None).cast("bigint").alias("new"), F.col("digest").alias("old"))

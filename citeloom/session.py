@@ -66,6 +66,16 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in no fewer parts than the cluster has cores, for costly work on each row.
+
+    A table of fewer parts lies in a few files that Spark can't split; its rows are dealt out. One with more is left as
+    it is: nothing large is shuffled for this.
+    """
+    width = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= width else df.repartition(width)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table of that name under sf_dir."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
