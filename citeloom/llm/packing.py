@@ -2,10 +2,12 @@
 
 Lengths are whole numbers up to the capacity, so all that packing needs is how many pieces there are of each
 length: a histogram with at most capacity entries, whatever the size of the corpus. The plan is made on it once.
-For each gap the counts are scanned for one, two or three lengths left that fill it exactly (there is no index of sums);
-a piece is closed with such a combination as many times as the counts of all its lengths allow at once; what is left goes to the best fit. The plan
-comes out as runs: pieces number a..b of length l go to containers c, c + 1, ... . Pieces get their number within
-their length from counts per task and a running sum, not from one sorted window, and meet their run by its range.
+Sums are indexed: by each sum of two lengths, in how many ways the lengths left make it. The index is made once and
+corrected whenever a length is used up; sums of three lengths are read through it, as one length and a sum of two.
+A gap is closed with the one, two or three lengths that fill it exactly, as many times as the counts of all its lengths
+allow at once; what is left goes to the best fit. The plan comes out as runs: pieces number a..b of length l go to
+containers c, c + 1, ... . Pieces get their number within their length from counts per task and a running sum, not
+from one sorted window, and meet their run by its range.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.session import materialize
+from citeloom.session import materialize, spread
 
 #: Folder of public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -57,20 +59,37 @@ def token_lengths(docs: DataFrame, doc_id: str, text: str, tokenizer: str) -> Da
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counter(part.column(1).to_pylist()), pa.int32())], ["doc_id", "n_tokens"])
 
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return read.where("text <> ''").mapInArrow(count, "doc_id bigint, n_tokens int")
+    return spread(read.where("text <> ''")).mapInArrow(count, "doc_id bigint, n_tokens int")
 
 
 class _Stock:
-    """How many pieces of each length are left, and runs of those already placed."""
+    """How many pieces of each length are left, in how many ways two of them make each sum, and runs of those already placed."""
 
     def __init__(self, counts: dict[int, int], capacity: int) -> None:
         self.left = np.zeros(capacity + 1, np.int64)
         for n, c in counts.items():
             self.left[n] = c
+        self.present = (self.left > 0).astype(np.int64)
+        size = 2 * capacity + 1
+        wave = np.fft.rfft(self.present, 1 << size.bit_length())
+        #: Ordered pairs of lengths by their sum; a length with itself counts where two pieces of it are left.
+        self.pairs = np.rint(np.fft.irfft(wave * wave, 1 << size.bit_length())[:size]).astype(np.int64)
+        self.pairs[::2] -= self.left == 1
         self.taken = np.zeros(capacity + 1, np.int64)
         self.runs: list[tuple[int, int, int, int, int]] = []  # length, first number, end, first container, offset
         self.containers = 0
 
+    def take(self, n: int, pieces: int = 1) -> None:
+        """Take pieces of length n, or give them back (pieces below 0), and correct the index where that ends or begins a way to make a sum."""
+        before = int(self.left[n])
+        after = before - pieces
+        self.left[n] = after
+        self.pairs[2 * n] += (after >= 2) - (before >= 2)
+        if (before >= 1) != (after >= 1):
+            self.present[n] = 0
+            self.pairs[n : n + len(self.present)] += 2 * self.present if after >= 1 else -2 * self.present
+            self.present[n] = after >= 1
+
     def longest(self, room: int) -> int:
         """The longest length left that room holds, 0 if there is none."""
         fits = np.flatnonzero(self.left[1 : room + 1])
@@ -84,21 +103,21 @@ class _Stock:
             start = int(self.taken[n])
             self.runs.append((n, start, start + times, self.containers, offset))
             self.taken[n] += times
-            self.left[n] -= times
+            self.take(n, times)
             offset += n
         self.containers += times
 
     def pair(self, total: int) -> list[int] | None:
         """Two lengths left with that sum; of all such pairs the one that can be taken most often."""
         low, high = (total + 1) // 2, min(total - 1, len(self.left) - 1)
-        if low > high:
+        if low > high or self.pairs[total] == 0:
             return None
         one, other = self.left[low : high + 1], self.left[total - high : total - low + 1][::-1]
         often = np.minimum(one, other)
         if total == 2 * low:
             often[0] = one[0] // 2
         k = int(np.argmax(often))
-        return [low + k, total - low - k] if often[k] else None
+        return [low + k, total - low - k]
 
     def complement(self, gap: int) -> list[int] | None:
         """One, two or three lengths left that sum to gap exactly; fewer are preferred."""
@@ -107,12 +126,15 @@ class _Stock:
         found = self.pair(gap)
         if found:
             return found
-        for a in np.flatnonzero(self.left[: gap - 1])[::-1].tolist():
-            if 3 * a < gap:
-                break
-            self.left[a] -= 1
-            found = self.pair(gap - a)
-            self.left[a] += 1
+        # one length a, the longest of three, whose rest is the sum of two
+        least = -(-gap // 3)
+        if least > gap - 2:
+            return None
+        rest = self.pairs[gap - least : 1 : -1]
+        for a in (np.flatnonzero(self.present[least : gap - 1] * (rest > 0)) + least)[::-1].tolist():
+            self.take(a)
+            found = self.pair(gap - a)  # without the piece of a, which the index may have counted
+            self.take(a, -1)
             if found:
                 return [a, *found]
         return None
@@ -129,22 +151,22 @@ def packing_runs(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int,
     stock = _Stock(counts, capacity)
     while opener := stock.longest(capacity):
         chosen, room = [opener], capacity - opener
-        stock.left[opener] -= 1  # what is chosen is not offered again
+        stock.take(opener)  # what is chosen is not offered again
         while room:
             exact = stock.complement(room)
             if exact:
                 for n in exact:
-                    stock.left[n] -= 1
+                    stock.take(n)
                 chosen += exact
                 break
             fit = stock.longest(room)
             if not fit:
                 break
-            stock.left[fit] -= 1
+            stock.take(fit)
             chosen.append(fit)
             room -= fit
         for n in chosen:
-            stock.left[n] += 1
+            stock.take(n, -1)
         stock.close(chosen)
     return stock.runs, stock.containers
 

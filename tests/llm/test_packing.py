@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import random
 from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from citeloom.llm.packing import TOKENIZER, TOKENIZERS, pack_texts, packing_runs, token_counter
+from citeloom.llm.packing import TOKENIZER, TOKENIZERS, _Stock, pack_texts, packing_runs, token_counter
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TOKENIZERS), reason="no tokenizer files")
 
@@ -83,3 +84,15 @@ def test_documents_fill_containers(spark, data):
 
 def test_other_tokenizer():
     assert token_counter(f"{TOKENIZERS}/piece_bpe_32k.model")(["a b", ""])[1] == 0
+
+
+def test_the_index_of_sums_follows_the_counts():
+    draw = random.Random(5)
+    for capacity in (1, 7, 40):
+        stock = _Stock({n: draw.randrange(4) for n in range(1, capacity + 1)}, capacity)
+        for _ in range(60):
+            n = draw.randrange(1, capacity + 1)
+            stock.take(n, draw.randrange(-2, int(stock.left[n]) + 1))
+            left = stock.left.tolist()
+            want = [sum(1 for a in range(max(0, s - capacity), min(s, capacity) + 1) if left[a] and left[s - a] and (2 * a != s or left[a] > 1)) for s in range(2 * capacity + 1)]
+            assert stock.pairs.tolist() == want
