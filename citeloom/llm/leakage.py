@@ -5,21 +5,25 @@ the others. Hashes of all windows of the items, under all masks, form one sorted
 and a window of a document whose hash is found there is a hit even where ignored words were replaced. Around every
 hit the document and the item are compared word by word along their diagonal.
 
-The items are the stated query set. They are taken in blocks of bounded size, each sent to all tasks and held
-against every document in one narrow pass: nothing of the corpus is shuffled, and more items mean more passes.
+The items are the stated query set. They are taken in blocks of bounded size. Of a block only the texts are sent to
+the workers, each of which makes the index once; it is held against every document in one narrow pass. Nothing of the
+corpus is shuffled, and more items than a block holds mean more passes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.words import words
+from citeloom.session import spread
 
 #: Words of a window.
 WINDOW = 12
@@ -28,7 +32,7 @@ WINDOW = 12
 MASKS = ("110110110111", "101101101101", "011011011011", "111000111000", "000111000111", "111111000000", "100010100111", "010100010111", "000111111000")
 #: Replaced words that an overlap may have in any window.
 MAX_REPLACED = 2
-#: Characters of the items of one block; its index takes about 50 bytes a character.
+#: Characters of the items of one block, but for an item that alone has more; its index takes about 25 bytes a character of a worker's memory.
 BLOCK_CHARS = 8_000_000
 #: Pairs of windows held at once.
 HITS = 1_000_000
@@ -121,6 +125,18 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int = WINDOW,
     return int(kept[-1] - kept[0] + 1), len(kept), run[1] - run[0]
 
 
+#: The index this worker made last, by the name of its block.
+_made: dict[str, SeedIndex] = {}
+
+
+def _index(name: str, items: Broadcast) -> SeedIndex:
+    """The index of a block, made once in each worker; a worker holds one at a time."""
+    if name not in _made:
+        _made.clear()
+        _made[name] = SeedIndex(items.value)
+    return _made[name]
+
+
 _OUT = "doc_id bigint, item_id bigint, item_words int, overlap_words int, equal_words int, exact_words int"
 _SCHEMA = pa.schema([(f.split()[0], pa.int64() if f.split()[1] == "bigint" else pa.int32()) for f in _OUT.split(", ")])
 
@@ -178,16 +194,16 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     asked = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("t")).where("t IS NOT NULL")
     chars = asked.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    read = docs.select(F.col(doc_id).cast("bigint"), F.col(doc_text).cast("string")).where(F.col(doc_text).isNotNull())
+    read = spread(docs.select(F.col(doc_id).cast("bigint"), F.col(doc_text).cast("string")).where(F.col(doc_text).isNotNull()))
 
     def against(k: int) -> DataFrame:
         block = asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()  # about block_chars characters
-        sent = spark.sparkContext.broadcast(SeedIndex([tuple(r) for r in block]))
+        sent, name = spark.sparkContext.broadcast([tuple(r) for r in block]), uuid.uuid4().hex
 
         def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for start in range(0, batch.num_rows, 500):
-                    yield _search(sent.value, batch.slice(start, 500))
+                    yield _search(_index(name, sent), batch.slice(start, 500))
 
         return read.mapInArrow(search, _OUT)
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.plaintext import UPPER, Plain, plain
-from citeloom.session import materialize
+from citeloom.session import materialize, spread
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Candidates of one pattern of votes on which the classifier is trained, about so many at most.
@@ -565,7 +565,7 @@ def pii_candidates(docs: DataFrame, names: Gazetteer, doc_id: str = "doc_id", te
                 yield rows.batch()
 
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return (read if keep_text else read.where("text <> ''")).mapInArrow(propose, _FOUND)
+    return spread(read if keep_text else read.where("text <> ''")).mapInArrow(propose, _FOUND)
 
 
 class _Rows:
