@@ -17,10 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.session import shuffle_width
+from citeloom.session import materialize, shuffle_width
 
 #: References of a range over its fair share beyond which the range is cut into pieces.
 SHARE = 1.5
+#: Parents of a range, about: they are held in one task's memory, so more parents make more ranges.
+RANGE_PARENTS = 500_000
 
 _SHAPE = "side int, hash bigint, key string, t1 bigint, t2 bigint, src string, row_no bigint"
 _OUT = "src_table string, at bigint, row_no bigint"
@@ -95,13 +97,13 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     either input are not read.
     """
     spark = refs.sparkSession
-    ranges = ranges or shuffle_width(spark)
     hashed = F.xxhash64("key")
-    # (hash / 2^64 + 1/2) * ranges, in integers: the range's place on the line of hashes
-    range_of = F.shiftright(F.expr(f"((hash >> 32) + 2147483648L) * {ranges}L"), 32).cast("int")
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     near = refs.where("key IS NOT NULL").select(F.lit(1).alias("side"), hashed.alias("hash"), "key", micros("written_at").alias("t1"), F.lit(None).cast("bigint").alias("t2"), F.col("src_table").alias("src"), F.col("row_no").cast("bigint").alias("row_no"))
-    far = parents.where("key IS NOT NULL").select(F.lit(0).alias("side"), hashed.alias("hash"), "key", micros("starts_at").alias("t1"), micros("ends_at").alias("t2"), F.lit(None).cast("string").alias("src"), F.lit(None).cast("bigint").alias("row_no"))
+    far = materialize(parents.where("key IS NOT NULL").select(F.lit(0).alias("side"), hashed.alias("hash"), "key", micros("starts_at").alias("t1"), micros("ends_at").alias("t2"), F.lit(None).cast("string").alias("src"), F.lit(None).cast("bigint").alias("row_no")), "parents")  # counted, then sent to its ranges
+    ranges = ranges or max(shuffle_width(spark), -(-far.count() // RANGE_PARENTS))
+    # (hash / 2^64 + 1/2) * ranges, in integers: the range's place on the line of hashes
+    range_of = F.shiftright(F.expr(f"((hash >> 32) + 2147483648L) * {ranges}L"), 32).cast("int")
     held = dict(near.groupBy(range_of.alias("r")).count().collect())  # one row per range at most
     fair = max(1.0, sum(held.values()) / ranges * SHARE)
     pieces = [max(1, -(-held.get(r, 0) // int(fair))) for r in range(ranges)]
