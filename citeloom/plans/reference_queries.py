@@ -150,6 +150,18 @@ def cited_by_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_citations(_citations(spark, sf_dir)).select("cited_id", "page_no", "citation_count", F.array_join(entries, ";").alias("cited_by"))
 
 
+#: Citations of a page in paged_records: small, so that many works have several pages.
+SMALL_PAGE = 50
+
+
+def paged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page of works in pages of 50: the work's totals, and the page's first and last citation and their number."""
+    entry = lambda c: F.concat_ws("|", c["provenance"], c["doi"], c["ref_index"].cast("string"))
+    grouped = grouped_citations(_citations(spark, sf_dir), SMALL_PAGE)
+    first, last = entry(F.element_at("cited_by", 1)).alias("first_citation"), entry(F.element_at("cited_by", -1)).alias("last_citation")
+    return grouped.select("cited_id", "page_no", "n_pages", "citation_count", *(f"{p}_count" for p in PROVENANCES), F.size("cited_by").cast("bigint").alias("n_listed"), first, last)
+
+
 def index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry index."""
     return _index(spark, sf_dir)
@@ -218,7 +230,7 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = table(spark, sf_dir, "cited_records").select(work_key(F.col("doi")).alias("work"), canonical_work_id(F.col("doi")).alias("arxiv_doi"), F.explode("cited_by").alias("c")).where("work LIKE '10.48550/arxiv.%'")
     ref = F.col("ref")
     return with_variant(each, F.col("c.reference"), "ref").select(
-        coverage.bare_doi(F.col("c.doi")).alias("citing_doi"), F.substring("work", 16, 1000).alias("arxiv_id"), "arxiv_doi",
+        coverage.bare_doi(F.col("c.doi")).alias("citing_doi"), F.expr("substring(work, 16)").alias("arxiv_id"), "arxiv_doi",
         F.when(F.col("c.provenance").isin("publisher", "crossref"), "asserted").otherwise("mined").alias("source"), F.lit("").alias("raw_match"),
         F.try_variant_get(ref, "$.DOI", "variant").isNotNull().alias("has_structured_doi_in_source"),
         F.when(F.col("c.provenance").isin("publisher", "crossref"), F.col("c.provenance")).alias("doi_asserted_by"),
@@ -302,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "dedup_citations": deduplicated,
     "cited_work_counts": cited_work_counts,
     "cited_by_ordered": cited_by_ordered,
+    "paged_records": paged_records,
     "index_build": index_build,
     "valid_works": valid,
     "failed_works": failed,

@@ -128,6 +128,12 @@ ORACLE = {
     "dedup_citations": _STAGED + "SELECT cited_id, citing_doi, ref_index, provenance, ref_json FROM c",
     "cited_work_counts": _STAGED + "SELECT * FROM w",
     "cited_by_ordered": _STAGED + "SELECT cited_id, 0 AS page_no, CAST(count(*) AS BIGINT) AS citation_count, string_agg(provenance || '|' || citing_doi || '|' || ref_index, ';' ORDER BY rank, citing_doi, ref_index) AS cited_by FROM c GROUP BY cited_id",
+    "paged_records": _STAGED + """, o AS (SELECT *, row_number() OVER (PARTITION BY cited_id ORDER BY rank, citing_doi, ref_index) - 1 AS pos FROM c)
+      SELECT cited_id, CAST(pos // 50 AS INTEGER) AS page_no, CAST((any_value(citation_count) + 49) // 50 AS INTEGER) AS n_pages, any_value(citation_count) AS citation_count, """
+    + ", ".join(f"any_value({p}_count) AS {p}_count" for p in PROVENANCES)
+    + """, CAST(count(*) AS BIGINT) AS n_listed,
+      first(provenance || '|' || citing_doi || '|' || ref_index ORDER BY pos) AS first_citation, last(provenance || '|' || citing_doi || '|' || ref_index ORDER BY pos) AS last_citation
+      FROM o JOIN w USING (cited_id) GROUP BY cited_id, pos // 50""",
     "index_build": "SELECT DISTINCT lower(id) AS id FROM id_records WHERE id <> ''",
     "valid_works": _STAGED + "SELECT cited_id, citation_count FROM w WHERE is_valid",
     "failed_works": _STAGED + "SELECT cited_id, citation_count FROM w WHERE NOT is_valid",
