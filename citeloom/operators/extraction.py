@@ -48,15 +48,20 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     return items.select("file_name", "item_pos", _at(F.col("item"), "DOI", "string").alias("doi"), _at(F.col("item"), "reference", "array<variant>").alias("references"))
 
 
-def explode_references(items: DataFrame) -> DataFrame:
-    """One row per reference of items with a DOI: citing_doi in lower case, 0-based ref_index, the six fields, ref, parseable."""
-    each = items.where("doi IS NOT NULL").select("file_name", "item_pos", F.lower("doi").alias("citing_doi"), F.posexplode("references").alias("ref_index", "ref"))
+def _with_fields(each: DataFrame, *keys: str) -> DataFrame:
+    """keys, citing_doi, ref_index and ref of each reference, with its six fields and whether they can be read."""
     fine = _is_object(F.col("ref"))
     for field in FIELDS.values():
         fine = fine & _absent_or_text(F.col("ref"), field)
     read = F.struct(*(_at(F.col("ref"), f, "string").alias(c) for c, f in FIELDS.items()), F.coalesce(fine, F.lit(False)).alias("parseable"))
     # a generator of one row: later filters can't be pulled below it, where they would read the fields again
-    return each.select("*", F.explode(F.array(read)).alias("f")).select("file_name", "item_pos", "citing_doi", "ref_index", "ref", "f.*")
+    return each.select("*", F.explode(F.array(read)).alias("f")).select(*keys, "citing_doi", "ref_index", "ref", "f.*")
+
+
+def explode_references(items: DataFrame) -> DataFrame:
+    """One row per reference of items with a DOI: citing_doi in lower case, 0-based ref_index, the six fields, ref, parseable."""
+    each = items.where("doi IS NOT NULL").select("file_name", "item_pos", F.lower("doi").alias("citing_doi"), F.posexplode("references").alias("ref_index", "ref"))
+    return _with_fields(each, "file_name", "item_pos")
 
 
 def match_references(references: DataFrame) -> DataFrame:
@@ -87,19 +92,56 @@ def extract_citations(files: DataFrame, allowed: Sequence[str] = ()) -> DataFram
     return citation_rows(candidate_citations(match_references(explode_references(explode_items(parse_files(files))))), allowed)
 
 
-def extraction_stats(files: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
-    """One row of counters: files, files_failed, items, refs_unparseable, no_match, filtered_self_cite, filtered_provenance, extracted."""
+def document_references(files: DataFrame) -> DataFrame:
+    """One row per reference of each document, one for an item, or a document, that has none: all that rows and counters are made of.
+
+    file_name, parse_failed, n_items, opens (on the first row of a document only), and of the reference ref_index (NULL
+    where there is none), citing_doi, parseable, searched, cited, doi, asserted_by, and ref_json where something is cited.
+    Every document is parsed once; written down, the table serves the staged rows, the counters and the manifest.
+    """
     parsed = parse_files(files)
-    of_files = parsed.agg(F.count(F.lit(1)).alias("files"), F.count_if("parse_failed").alias("files_failed"), F.coalesce(F.sum(F.when(~F.col("parse_failed"), F.greatest(F.size("items"), F.lit(0)))), F.lit(0)).cast("bigint").alias("items"))
-    matched = match_references(explode_references(explode_items(parsed)))
+    n_items = F.when(F.col("parse_failed"), 0).otherwise(F.greatest(F.coalesce(F.size("items"), F.lit(0)), F.lit(0)))
+    items = parsed.select("file_name", "parse_failed", n_items.alias("n_items"), F.posexplode_outer(F.when(~F.col("parse_failed"), F.col("items"))).alias("item_pos", "item"))
+    doi = F.lower(_at(F.col("item"), "DOI", "string"))
+    each = items.select("file_name", "parse_failed", "n_items", "item_pos", doi.alias("citing_doi"), F.posexplode_outer(F.when(doi.isNotNull(), _at(F.col("item"), "reference", "array<variant>"))).alias("ref_index", "ref"))
+    matched = match_references(_with_fields(each, "file_name", "parse_failed", "n_items", "item_pos"))
+    opens = (F.coalesce("item_pos", F.lit(0)) == 0) & (F.coalesce("ref_index", F.lit(0)) == 0)
+    ref_json = F.when(F.size("cited") > 0, F.to_json("ref")).alias("ref_json")
+    return matched.select("file_name", "parse_failed", "n_items", opens.alias("opens"), "item_pos", "ref_index", "citing_doi", "parseable", "searched", "cited", "doi", "asserted_by", ref_json)
+
+
+def citations_of(references: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
+    """The staged relation out of document_references; the same rows as extract_citations."""
+    each = references.where(F.size("cited") > 0).select("citing_doi", "ref_index", "doi", "asserted_by", "ref_json", F.explode("cited").alias("cited_id"))
+    kept = each.withColumn("provenance", provenance(F.col("doi"), F.col("asserted_by"), F.col("cited_id")))
+    kept = kept.where(is_other_work(F.col("citing_doi"), F.col("cited_id")) & provenance_allowed(F.col("provenance"), allowed))
+    return kept.select("citing_doi", "ref_index", "cited_id", "provenance", "ref_json")
+
+
+def document_status(references: DataFrame) -> DataFrame:
+    """(file_name, status) of each document of document_references: failed or done."""
+    return references.where("opens").select("file_name", F.when(F.col("parse_failed"), "failed").otherwise("done").alias("status"))
+
+
+def reference_counters(references: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
+    """One row of counters of document_references: files, files_failed, items, refs_unparseable, no_match, filtered_self_cite, filtered_provenance, extracted."""
+    searched = F.coalesce("searched", F.lit(False)) & F.col("ref_index").isNotNull()
     kept = F.transform("cited", lambda d: F.struct(is_other_work(F.col("citing_doi"), d).alias("other"), provenance_allowed(provenance(F.col("doi"), F.col("asserted_by"), d), allowed).alias("allowed")))
-    counted = matched.select("parseable", "searched", "cited", kept.alias("kept"))
-    searched = F.col("searched")
-    of_refs = counted.agg(
-        F.count_if(~F.col("parseable")).alias("refs_unparseable"),
-        F.count_if(searched & (F.size("cited") == 0)).alias("no_match"),
-        F.coalesce(F.sum(F.when(searched, F.size(F.filter("kept", lambda k: ~k["other"])))), F.lit(0)).cast("bigint").alias("filtered_self_cite"),
-        F.coalesce(F.sum(F.when(searched, F.size(F.filter("kept", lambda k: k["other"] & ~k["allowed"])))), F.lit(0)).cast("bigint").alias("filtered_provenance"),
-        F.coalesce(F.sum(F.when(searched, F.size(F.filter("kept", lambda k: k["other"] & k["allowed"])))), F.lit(0)).cast("bigint").alias("extracted"),
+    each = references.select("opens", "parse_failed", "n_items", "ref_index", "parseable", searched.alias("searched"), "cited", kept.alias("kept"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    sized = lambda keep: total(F.when(F.col("searched"), F.size(F.filter("kept", keep))))
+    return each.agg(
+        F.count_if("opens").alias("files"),
+        F.count_if(F.col("opens") & F.col("parse_failed")).alias("files_failed"),
+        total(F.when(F.col("opens"), F.col("n_items"))).alias("items"),
+        F.count_if(F.col("ref_index").isNotNull() & ~F.col("parseable")).alias("refs_unparseable"),
+        F.count_if(F.col("searched") & (F.size("cited") == 0)).alias("no_match"),
+        sized(lambda k: ~k["other"]).alias("filtered_self_cite"),
+        sized(lambda k: k["other"] & ~k["allowed"]).alias("filtered_provenance"),
+        sized(lambda k: k["other"] & k["allowed"]).alias("extracted"),
     )
-    return of_files.join(F.broadcast(of_refs), F.lit(True))  # one row each
+
+
+def extraction_stats(files: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:
+    """The counters of raw documents, in one scan and one parse of each."""
+    return reference_counters(document_references(files), allowed)

@@ -14,19 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citeloom.functions.arxiv import partition_key
-from citeloom.operators.extraction import extract_citations, parse_files
+from citeloom.operators.extraction import citations_of, document_references, document_status
 from citeloom.operators.registry import unfinished
+from citeloom.session import materialize, scratch
 from citeloom.sources.inputs import read_works
 
 MANIFEST = "file_name string, status string, batch bigint"
 
 
 def _append(batch: DataFrame, batch_id: int, staged: str, manifest: str, allowed: Sequence[str]) -> None:
-    """Write one batch under its own number: a batch that is repeated after a failure replaces what it wrote."""
-    rows = extract_citations(batch, allowed).withColumn("part", partition_key(F.col("cited_id")))
-    rows.write.mode("overwrite").partitionBy("part").option("compression", "zstd").parquet(f"{staged}/batch={batch_id}")
-    done = parse_files(batch).select("file_name", F.when(F.col("parse_failed"), "failed").otherwise("done").alias("status"), F.lit(batch_id).cast("bigint").alias("batch"))
-    done.write.mode("overwrite").parquet(f"{manifest}/batch={batch_id}")
+    """Write one batch under its own number: a batch that is repeated after a failure replaces what it wrote. Each document is read and parsed once."""
+    spark = batch.sparkSession
+    with scratch(spark):
+        references = materialize(document_references(batch), "batch-references")
+        rows = citations_of(references, allowed).withColumn("part", partition_key(F.col("cited_id")))
+        rows.write.mode("overwrite").partitionBy("part").option("compression", "zstd").parquet(f"{staged}/batch={batch_id}")
+        done = document_status(references).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        done.write.mode("overwrite").parquet(f"{manifest}/batch={batch_id}")
 
 
 def ingest(spark: SparkSession, directory: str, staged: str, manifest: str, checkpoint: str, allowed: Sequence[str] = (), max_files: int = 25) -> StreamingQuery:
