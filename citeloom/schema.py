@@ -6,6 +6,7 @@ from __future__ import annotations
 CITATION_ROW = "citing_doi string, ref_index int, cited_id string, provenance string, ref_json string"
 #: Raw documents.
 RAW_FILE = "file_name string, value string"
+# Names and order of columns, as readers of the files know them.
 #: One sampled citation pair.
 CITATION_SAMPLE = "citing_doi string, arxiv_id string, arxiv_doi string, source string, raw_match string, has_structured_doi_in_source boolean, doi_asserted_by string"
 #: One verified pair, in the order of the CSV's columns.

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +34,14 @@ def build_session(app: str = "citeloom", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Where it is unset (tests, local mode) a temporary folder is chosen once and kept in the session.
+    Where it is unset, a temporary folder is chosen once and kept in the session, in local mode only: elsewhere executors
+    would each write to a disk of their own, so that is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("citeloom.shared.dir", "")
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         named = "file://" + tempfile.mkdtemp(prefix="citeloom-")
         spark.conf.set("citeloom.shared.dir", named)
         spark.sparkContext.setCheckpointDir(named)
@@ -42,20 +49,58 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system of a path, and the path, as the JVM has them."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    files, target = hadoop_path(spark, path)
+    files.deleteOnExit(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system; nothing happens if there is none."""
+    files, target = hadoop_path(spark, path)
+    files.delete(target, True)
+
+
+#: Tables of the runs that are open, one list each.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the tables that materialize writes inside, and the paths that are added to the list, when it ends.
+
+    For runs that have written all they want by then; frames that were returned can't be read any more.
+    """
+    own: list[str] = []
+    _scratch.append(own)
+    try:
+        yield own
+    finally:
+        _scratch.remove(own)
+        for path in own:
+            delete(spark, path)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that no other run has."""
+    return f"{shared_dir(spark)}/citeloom-{uuid.uuid4().hex}-{label}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: a lineage cut that survives lost executors.
 
-    Parquet rather than checkpoint(): later readers prune columns and push filters into it. The
-    table is removed when the driver's JVM ends, as the returned frame is lazy.
+    Parquet rather than checkpoint(): later readers prune columns and push filters into it. The table is removed at
+    the end of the scratch() around it, or when the driver's JVM ends, as the returned frame is lazy.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/citeloom-{uuid.uuid4().hex}-{label}"
+    path = scratch_path(spark, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

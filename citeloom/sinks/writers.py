@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.arxiv import partition_key
 from citeloom.operators.grouping import of_provenance, record_json
+from citeloom.schema import VERIFICATION
+from citeloom.session import col_or_null
 from citeloom.sinks.selection import Output
 
 #: Rows of one staged file: a hundredth of the batch size, but no fewer than this.
@@ -37,7 +39,7 @@ def write_index(ids: DataFrame, path: str) -> None:
 
 
 def write_records(works: DataFrame, paths: dict[Output, str]) -> None:
-    """Write the selected outputs of works (cited_id, citation_count, cited_by, is_valid), a directory of JSON lines each.
+    """Write the selected outputs of works (grouped_citations with is_valid), a directory of JSON lines each.
 
     works is read once per output: materialise it before. Provenance outputs have valid works only, with their own counts.
     """
@@ -45,13 +47,14 @@ def write_records(works: DataFrame, paths: dict[Output, str]) -> None:
     views = {Output.VALID: valid, Output.FAILED: works.where("NOT is_valid")}
     for output, path in paths.items():
         view = views[output] if output in views else of_provenance(valid, output.value)
-        line = record_json(F.col("cited_id"), F.col("citation_count"), F.col("cited_by")).alias("value")
+        line = record_json(F.col("cited_id"), F.col("citation_count"), F.col("cited_by"), F.col("page_no"), F.col("n_pages")).alias("value")
         view.select(line).write.mode("overwrite").text(path)
 
 
 def write_csv(results: DataFrame, path: str) -> None:
-    """Verified pairs as CSV with a header."""
-    results.write.mode("overwrite").option("header", True).csv(path)
+    """Verified pairs as CSV with a header: the columns of VERIFICATION in their order, those that results lacks (notes) empty."""
+    columns = [c.split() for c in VERIFICATION.split(",")]
+    results.select(*(col_or_null(results, c, t).alias(c) for c, t in columns)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def summary_document(summary: DataFrame) -> dict:

@@ -1,10 +1,15 @@
-"""What kind of input a path is. Local paths are looked at here; other file systems need the kind named by the caller."""
+"""What kind of input a path is, on any file system that Spark can reach."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from enum import Enum
 
+from pyspark.sql import SparkSession
+
+from citeloom.session import hadoop_path
+
 
 class WorksInput(Enum):
     """Kinds of input with work documents."""
@@ -23,51 +28,69 @@ class RegistryInput(Enum):
     NESTED_SNAPSHOT = "directory of updated_* directories"
 
 
-def _formats(path: str) -> tuple[bool, bool]:
-    """Whether a directory has .json files, and whether it has .jsonl or .jsonl.gz files."""
-    names = os.listdir(path)
-    return any(os.path.splitext(n)[1] == ".json" for n in names), any(n.lower().endswith((".jsonl", ".jsonl.gz")) for n in names)
+#: What stands at a path: (names of files, names of directories) of a directory, None for a file.
+Listing = Callable[[str], tuple[list[str], list[str]] | None]
+
+
+def local_listing(path: str) -> tuple[list[str], list[str]] | None:
+    """What stands at a path of this machine."""
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"There is nothing at {path}")
+    if os.path.isfile(path):
+        return None
+    with os.scandir(path) as entries:
+        found = [(e.name, e.is_dir()) for e in entries]
+    return [n for n, is_dir in found if not is_dir], [n for n, is_dir in found if is_dir]
+
+
+def spark_listing(spark: SparkSession) -> Listing:
+    """What stands at a path as Spark reads it: on the default file system, or on that of the path's scheme."""
 
+    def listing(path: str) -> tuple[list[str], list[str]] | None:
+        files, target = hadoop_path(spark, path)
+        if not files.exists(target):
+            raise FileNotFoundError(f"There is nothing at {path}")
+        if not files.getFileStatus(target).isDirectory():
+            return None
+        found = [(s.getPath().getName(), s.isDirectory()) for s in files.listStatus(target)]
+        return [n for n, is_dir in found if not is_dir], [n for n, is_dir in found if is_dir]
 
-def _one_format(path: str) -> tuple[bool, bool]:
-    has_json, has_lines = _formats(path)
+    return listing
+
+
+def _by_ending(path: str, endings: dict[str, Enum]) -> Enum:
+    for ending, kind in endings.items():
+        if path.lower().endswith(ending):
+            return kind
+    raise ValueError(f"{path} is none of {', '.join(endings)}; Unrecognized file type")
+
+
+def _formats(path: str, files: list[str]) -> tuple[bool, bool]:
+    """Whether a directory has .json files, and whether it has .jsonl or .jsonl.gz files; both are an error."""
+    has_json = any(os.path.splitext(n)[1] == ".json" for n in files)
+    has_lines = any(n.lower().endswith((".jsonl", ".jsonl.gz")) for n in files)
     if has_json and has_lines:
-        raise ValueError(f"Ambiguous directory '{path}': it has both .json and .jsonl files; name a file, or a directory with one format")
+        raise ValueError(f"Ambiguous: {path} holds documents (.json) as well as lines (.jsonl); name one file, or keep the two apart")
     return has_json, has_lines
 
 
-def detect_works(path: str) -> WorksInput:
+def detect_works(path: str, listing: Listing = local_listing) -> WorksInput:
     """The kind of a path with work documents; an error says what is wrong with any other path."""
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"Input path does not exist: {path}")
-    if os.path.isfile(path):
-        low = path.lower()
-        if low.endswith(".tar.gz"):
-            return WorksInput.TAR_GZ
-        if low.endswith(".json"):
-            return WorksInput.JSON_FILE
-        raise ValueError(f"Unrecognized file type: {path}; expected .tar.gz or .json")
-    has_json, has_lines = _one_format(path)
-    if has_json:
+    found = listing(path)
+    if found is None:
+        return _by_ending(path, {".tar.gz": WorksInput.TAR_GZ, ".json": WorksInput.JSON_FILE})
+    if _formats(path, found[0])[0]:
         return WorksInput.JSON_DIRECTORY
-    if not has_lines and not any(os.path.isfile(os.path.join(path, n)) for n in os.listdir(path)):
-        raise ValueError(f"Directory '{path}' contains no processable files")
-    raise ValueError(f"Directory '{path}' does not contain .json files")
+    raise ValueError(f"No documents: {path} does not contain any file named *.json" if found[0] else f"There are no processable files in {path}")
 
 
-def detect_registry(path: str) -> RegistryInput:
+def detect_registry(path: str, listing: Listing = local_listing) -> RegistryInput:
     """The kind of a path with registry records; an error says what is wrong with any other path."""
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"Input path does not exist: {path}")
-    if os.path.isfile(path):
-        low = path.lower()
-        if low.endswith(".jsonl.gz"):
-            return RegistryInput.JSONL_GZ
-        if low.endswith(".jsonl"):
-            return RegistryInput.JSONL
-        raise ValueError(f"Unrecognized file type: {path}; expected .jsonl.gz or .jsonl")
-    if any(n.startswith("updated_") and os.path.isdir(os.path.join(path, n)) for n in os.listdir(path)):
+    found = listing(path)
+    if found is None:
+        return _by_ending(path, {".jsonl.gz": RegistryInput.JSONL_GZ, ".jsonl": RegistryInput.JSONL})
+    if any(n.startswith("updated_") for n in found[1]):
         return RegistryInput.NESTED_SNAPSHOT
-    if _one_format(path)[1]:
+    if _formats(path, found[0])[1]:
         return RegistryInput.FLAT_DIRECTORY
-    raise ValueError(f"Directory '{path}' does not contain .jsonl or .jsonl.gz files")
+    raise ValueError(f"No records: {path} does not contain any file named *.jsonl or *.jsonl.gz")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.schema import CITATION_ROW
-from citeloom.sources.archives import register
-from citeloom.sources.detect import RegistryInput, WorksInput, detect_registry, detect_works
+from citeloom.sources.archives import read_archives
+from citeloom.sources.detect import RegistryInput, WorksInput, detect_registry, detect_works, spark_listing
 
 
 def read_works(spark: SparkSession, path: str, kind: WorksInput | None = None) -> DataFrame:
@@ -15,10 +17,9 @@ def read_works(spark: SparkSession, path: str, kind: WorksInput | None = None) -
 
     Unreadable files and damaged archives fail the read.
     """
-    kind = kind or detect_works(path)
+    kind = kind or detect_works(path, spark_listing(spark))
     if kind is WorksInput.TAR_GZ:
-        register(spark)
-        return spark.read.format("json_archives").load(path).repartition(spark.sparkContext.defaultParallelism)
+        return read_archives(spark, path).repartition(spark.sparkContext.defaultParallelism)
     reader = spark.read.option("pathGlobFilter", "*.json") if kind is WorksInput.JSON_DIRECTORY else spark.read
     return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
 
@@ -31,12 +32,15 @@ def file_order(file_name) -> list:  # noqa: ANN001
 
 
 def read_registry_lines(spark: SparkSession, path: str, kind: RegistryInput | None = None) -> DataFrame:
-    """(value): the lines of registry files that are not blank. A nested snapshot has its compressed files only."""
-    kind = kind or detect_registry(path)
+    """(value): the lines of registry files that are not blank. A nested snapshot has its compressed files only.
+
+    In a directory, a file that can't be read is left out from where it is broken, and Spark logs a warning; a single file fails.
+    """
+    kind = kind or detect_registry(path, spark_listing(spark))
     if kind is RegistryInput.NESTED_SNAPSHOT:
-        lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").text(path)
+        lines = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").text(path)
     elif kind is RegistryInput.FLAT_DIRECTORY:
-        lines = spark.read.option("pathGlobFilter", "*.{jsonl,jsonl.gz}").text(path)
+        lines = spark.read.option("ignoreCorruptFiles", "true").option("pathGlobFilter", "*.{jsonl,jsonl.gz}").text(path)
     else:
         lines = spark.read.text(path)
     return lines.where(F.trim("value") != "")
@@ -48,6 +52,12 @@ def read_staged(spark: SparkSession, path: str, parts: list[str] | None = None)
     return rows.where(F.col("part").isin(parts)) if parts is not None else rows
 
 
+def staged_parts(spark: SparkSession, path: str) -> list[str]:
+    """The directories of staged rows, in order, from their names alone."""
+    found = spark_listing(spark)(path)
+    return sorted(unquote(n.removeprefix("part=")) for n in found[1] if n.startswith("part=")) if found else []
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     """Rows of Parquet files, from their footers."""
     return spark.read.parquet(path).count()

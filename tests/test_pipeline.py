@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from citeloom import cli
 from citeloom.functions.jsonvalue import with_variant
-from citeloom.operators.extraction import candidate_citations, explode_items, explode_references, extract_citations, extraction_stats, match_references, parse_files
+from citeloom.operators.extraction import candidate_citations, citations_of, document_references, document_status, explode_items, explode_references, extract_citations, extraction_stats, match_references, parse_files, reference_counters
 from citeloom.operators.grouping import dedup_citations, grouped_citations, of_provenance, record_json, work_counts
 from citeloom.operators.registry import failed_works, index_of, registry_ids, registry_stats, unfinished, valid_works, with_validity
 from citeloom.operators.statistics import aggregation_stats
+from citeloom.plans import pipeline
 from citeloom.plans.pipeline import build_index, run_pipeline
+from citeloom.plans.progress import Progress
+from citeloom.session import materialize, scratch, shared_dir
 from citeloom.sinks.selection import Output, input_stem, log_level, output_paths, parse_outputs
 from citeloom.sinks.writers import rows_per_file, write_staged
 from citeloom.sources.detect import RegistryInput, WorksInput, detect_registry, detect_works
@@ -115,6 +118,22 @@ def test_pages_of_a_hot_work_hold_all(spark):
     assert [p.page_no for p in pages if p.cited_id == "cold"] == [0]
 
 
+def test_pages_are_in_order_and_say_what_they_are(spark, monkeypatch):
+    kinds = ["mined", "publisher", "crossref", "other"]
+    values = [(f"c{i % 170}", i, "hot", kinds[i % 4], "null") for i in range(500)] + [(f"c{i}", 0, "warm", "mined", "null") for i in range(61)] + [(f"c{i}", 0, "full", "mined", "null") for i in range(60)] + [("x", 0, "cold", "mined", "null")]
+    citations = dedup_citations(_rows(spark, values))
+    whole = {r.cited_id: r.cited_by for r in grouped_citations(citations).collect()}
+    for broadcast in (100_000, 0):  # hot works are salted where they are too many to be broadcast
+        monkeypatch.setattr("citeloom.operators.grouping.BROADCAST_WORKS", broadcast)
+        pages = grouped_citations(citations, page=60).orderBy("cited_id", "page_no").collect()
+        assert [(p.cited_id, p.page_no, p.n_pages, len(p.cited_by)) for p in pages] == [("cold", 0, 1, 1), ("full", 0, 1, 60), *(("hot", i, 9, 60 if i < 8 else 20) for i in range(9)), ("warm", 0, 2, 60), ("warm", 1, 2, 1)]
+        for work in whole:
+            assert [c for p in pages if p.cited_id == work for c in p.cited_by] == whole[work]
+    lines = grouped_citations(citations, page=60).select(record_json(F.col("cited_id"), F.col("citation_count"), F.col("cited_by"), F.col("page_no"), F.col("n_pages"))).collect()
+    got = sorted((d["doi"], d.get("page"), d.get("pages"), d["citation_count"]) for d in (json.loads(r[0]) for r in lines) if d["doi"] in ("warm", "cold"))
+    assert [g for g in got if g[0] == "cold"] == [("cold", None, None, 1)] and [g for g in got if g[0] == "warm"] == [("warm", 0, 2, 61), ("warm", 1, 2, 61)]
+
+
 def test_provenance_counts_of_paged_works_are_the_works(spark):
     kinds = ["mined", "publisher", "mined", "crossref", "other"]
     frame = _rows(spark, [(f"c{i}", i % 3, "hot", kinds[i % 5], "null") for i in range(500)] + [("p", 9, "hot", "crossref", "null")] + [("x", 0, "cold", "mined", "null")])
@@ -244,6 +263,119 @@ def test_run(spark, tmp_path):
     assert again.extraction is None and again.aggregation["total_citations"] == 5 and set(again.outputs) == {Output.VALID}
 
 
+def _works(tmp_path, n=6):
+    d = tmp_path / "works"
+    d.mkdir()
+    for i in range(n):
+        (d / f"{i}.json").write_text(json.dumps({"items": [{"DOI": f"10.1/{i}", "reference": [{"unstructured": f"arXiv:24{j:02d}.0000{j}"} for j in range(1, i + 2)]}]}))
+    (d / "bad.json").write_text("{")
+    registry = tmp_path / "r.jsonl"
+    registry.write_text("".join(f'{{"id":"10.48550/arxiv.24{j:02d}.0000{j}"}}\n' for j in (1, 2, 3)))
+    return str(d), str(registry)
+
+
+def _lines(spark, path):
+    return sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(path).collect())
+
+
+def test_commits_give_what_one_run_gives(spark, tmp_path, monkeypatch):
+    works, registry = _works(tmp_path)
+    whole = run_pipeline(spark, works, registry=registry, output_dir=str(tmp_path / "a"))
+    assert whole.staged is None  # staged rows of a run without a place for them are removed
+    with pytest.raises(ValueError):
+        run_pipeline(spark, works, registry=registry, resume=True)
+    staging = str(tmp_path / "staged")
+    args = {"registry": registry, "output_dir": str(tmp_path / "b"), "staging": staging, "checkpoint_interval": 2}
+    # the run breaks off in its third commit
+    calls, real = [], pipeline.aggregate
+
+    def breaking(*a):
+        calls.append(a)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(*a)
+
+    monkeypatch.setattr(pipeline, "aggregate", breaking)
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, works, **args)
+    assert os.path.exists(staging + "-progress/aggregation.json") and os.path.exists(staging + "-progress/extraction.json")
+    monkeypatch.setattr(pipeline, "aggregate", lambda *a: (calls.append(a), real(*a))[1])
+    monkeypatch.setattr(pipeline, "read_works", None)  # documents are not read again
+    resumed = run_pipeline(spark, works, resume=True, **args)
+    assert len(calls) == 4 and not os.path.exists(staging + "-progress")
+    assert resumed.extraction == whole.extraction and resumed.aggregation == whole.aggregation
+    for output in Output:
+        assert _lines(spark, resumed.outputs[output]) == _lines(spark, whole.outputs[output])
+
+
+def test_progress_is_whole(spark, tmp_path):
+    path = str(tmp_path / "p" / "x.json")
+    assert Progress.load(spark, path) == Progress()
+    one = Progress().after(["a", "b"], {"works": 2}).after(["c"], {"works": 3})
+    one.save(spark, path)
+    one.save(spark, path)
+    assert Progress.load(spark, path) == one and one.counters == {"works": 5} and one.commits == 2
+    os.rename(path, path + ".tmp")  # as if the run had ended before its rename
+    assert Progress.load(spark, path) == one
+    (tmp_path / "p" / "x.json.tmp").write_text('{"parts')
+    assert Progress.load(spark, path) == Progress()
+
+
+def test_scratch_tables_are_removed(spark):
+    frame = spark.range(3)
+    with scratch(spark) as own:
+        assert materialize(frame, "x").count() == 3 and os.path.isdir(own[0].removeprefix("file://"))
+    assert not os.path.exists(own[0].removeprefix("file://"))
+
+
+def test_without_a_shared_folder_only_local_runs(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+
+
+def test_kinds_and_addresses(spark, tmp_path):
+    works, registry = _works(tmp_path, 2)
+    assert read_works(spark, f"file://{works}").count() == 3 and read_works(spark, works, WorksInput.JSON_DIRECTORY).count() == 3
+    archives = tmp_path / "archives"
+    archives.mkdir()
+    for name in "ab":
+        _archive(str(archives / f"{name}.tar.gz"), {f"{name}.json": json.dumps(FIRST)})
+    assert sorted(r.file_name for r in read_works(spark, f"file://{archives}", WorksInput.TAR_GZ).collect()) == ["a.json", "b.json"]
+    assert cli.parser().parse_args(["pipeline", "--input-kind", "tar_gz", "--registry-kind", "nested_snapshot"]).input_kind is WorksInput.TAR_GZ
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["pipeline", "--input-kind", "zip"])
+    with pytest.raises(FileNotFoundError):
+        read_works(spark, "file:///none/at/all")
+
+
+def test_broken_registry_files_are_left_out(spark, tmp_path):
+    d = tmp_path / "flat"
+    d.mkdir()
+    with gzip.open(d / "a.jsonl.gz", "wt") as f:
+        f.write('{"id":"10.1/a"}\n')
+    (d / "b.jsonl.gz").write_bytes(b"this is no gzip file at all")
+    (d / "c.jsonl").write_text('{"id":"10.1/c"}\n')
+    assert rows(registry_ids(read_registry_lines(spark, str(d)))) == [("10.1/a",), ("10.1/c",)]
+
+
+def test_one_row_serves_rows_counters_and_status(spark):
+    files = _frame(spark, [FIRST, "{not json", None, {}, {"items": []}, {"items": [{}, {"DOI": "x"}, {"DOI": "y", "reference": []}]}])
+    refs = document_references(files)
+    assert _short(citations_of(refs)) == sorted(WANT) and _short(citations_of(refs, ["publisher"])) == _short(extract_citations(files, ["publisher"]))
+    assert refs.where("opens").count() == 6 and sorted(r.status for r in document_status(refs).collect()) == ["done"] * 4 + ["failed"] * 2
+    assert reference_counters(refs).first().asDict() == {"files": 6, "files_failed": 2, "items": 6, "refs_unparseable": 1, "no_match": 1, "filtered_self_cite": 1, "filtered_provenance": 0, "extracted": 5}
+    plan = extraction_stats(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") + plan.count("parse_json") == 1 or plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
 def test_staged_rows(spark, tmp_path):
     path = str(tmp_path / "s")
     write_staged(_rows(spark).select("citing_doi", "ref_index", F.lit("10.48550/arXiv.2403.1").alias("cited_id"), "provenance", "ref_json"), path)
