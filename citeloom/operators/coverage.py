@@ -84,11 +84,12 @@ def verify_references(samples: DataFrame, works: DataFrame) -> DataFrame:
     References are looked at in order until one has a DOI with the id, or a free text with it; an id in a title counts
     as an unstructured match but does not end the search, and the last such title gives the key unless a decisive one follows.
     """
-    r = works.select(F.lower("doi").alias("__doi"), "ref_pos", "key", F.lower("ref_doi").alias("d"), "unstructured", *(F.coalesce(c, F.lit("")).alias(c) for c in ("article_title", "journal_title", "volume_title")))
+    # ids are read once per reference, before it meets its pairs: behind a generator of one row, which no later step repeats
+    ids = F.transform(F.regexp_extract_all("unstructured", F.lit(FREE_ID), F.lit(1)), _before_version)
+    r = works.select(F.lower("doi").alias("__doi"), "ref_pos", "key", F.lower("ref_doi").alias("d"), F.explode(F.array(ids)).alias("ids"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("article_title", "journal_title", "volume_title")))
     at = samples.select(F.col("citing_doi"), "arxiv_id").distinct().join(r, F.col("citing_doi") == F.col("__doi"), "left")
     structured = F.coalesce((F.col("d") != "") & F.col("d").contains("arxiv") & F.col("d").contains(F.col("arxiv_id")), F.lit(False))
-    ids = F.regexp_extract_all("unstructured", F.lit(FREE_ID), F.lit(1))
-    free = F.coalesce(F.exists(ids, lambda m: _before_version(m) == _before_version(F.col("arxiv_id"))), F.lit(False))
+    free = F.coalesce(F.array_contains("ids", _before_version(F.col("arxiv_id"))), F.lit(False))
     titled = F.exists(F.array("article_title", "journal_title", "volume_title"), lambda t: t.contains(F.col("arxiv_id")))
     seen = at.select("citing_doi", "arxiv_id", "__doi", "ref_pos", "key", structured.alias("s"), (~structured & free).alias("u"), (~structured & ~free & titled).alias("t"))
     is_ref = F.col("ref_pos").isNotNull()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,10 @@ from citeloom.operators.grouping import dedup_citations, drop_exact_self, groupe
 from citeloom.operators.registry import failed_works, index_of, unfinished, valid_works, with_validity
 from citeloom.operators.statistics import aggregation_stats, partition_stats
 from citeloom.plans.pipeline import compare
-from citeloom.session import table
+from citeloom.session import materialize, scratch_path, table
+from citeloom.sinks.selection import output_paths, parse_outputs
+from citeloom.sinks.writers import write_index, write_records, write_staged
+from citeloom.sources.inputs import read_index, read_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +292,35 @@ def compare_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare(_samples(spark, sf_dir), _works(spark, sf_dir), *_openalex(spark, sf_dir), _events(spark, sf_dir), _oc_refs(spark, sf_dir))[1]
 
 
+def sample_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many pairs of each kind a sample of 100, half of them asserted, has."""
+    return stratified_sample(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("n_pairs"))
+
+
+def staged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rows written to directories and read back: rows and citing works of each."""
+    path = scratch_path(spark, "staged-roundtrip")
+    write_staged(staged_defaults(_staged(spark, sf_dir)), path)
+    return read_staged(spark, path).groupBy("part").agg(F.count(F.lit(1)).alias("rows_read"), F.countDistinct("citing_doi").alias("citing_works"))
+
+
+def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index written and read back: works in it, and the least and greatest id."""
+    path = scratch_path(spark, "index-roundtrip")
+    write_index(_index(spark, sf_dir), path)
+    return read_index(spark, path).agg(F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+def output_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five outputs written as JSON lines and read back: lines of each, sum of their counts, and listed citations."""
+    works = materialize(with_validity(grouped_citations(_citations(spark, sf_dir)), _index(spark, sf_dir)), "output-works")
+    paths = output_paths(parse_outputs([]), scratch_path(spark, "outputs"), "works")
+    write_records(works, paths)
+    each = [spark.read.schema("doi string, citation_count bigint, cited_by array<struct<doi:string>>").json(p).select(F.lit(o.value).alias("output"), "citation_count", F.size("cited_by").alias("listed")) for o, p in paths.items()]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return reduce(DataFrame.unionByName, each).groupBy("output").agg(F.count(F.lit(1)).alias("n_lines"), total("citation_count").alias("sum_counts"), total("listed").alias("n_listed"))
+
+
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of 100 pairs, half of them asserted."""
     pairs = _samples(spark, sf_dir)
@@ -331,4 +364,8 @@ QUERIES: dict[str, Query] = {
     "verify_contained": verify_contained,
     "compare_summary": compare_summary,
     "stratified_sample": stratified_sample,
+    "sample_strata": sample_strata,
+    "staged_roundtrip": staged_roundtrip,
+    "index_roundtrip": index_roundtrip,
+    "output_lines": output_lines,
 }

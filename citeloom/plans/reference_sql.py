@@ -153,4 +153,9 @@ ORACLE = {
     "verify_events": _COVERAGE + f"SELECT {_PAIR}, datacite_event_found, datacite_total_events, CASE WHEN datacite_total_events IS NULL THEN 'no_response' END AS datacite_error FROM v3",
     "verify_contained": _COVERAGE + f"SELECT {_PAIR}, opencitations_citing_found, opencitations_arxiv_in_refs, opencitations_oci FROM v4",
     "compare_summary": _COVERAGE.rstrip() + "," + _ALL + " UNION ALL ".join(_subset(*x) for x in _SUBSETS.items()),
+    "sample_strata": _COVERAGE + "SELECT source, least(50, CAST(count(*) AS BIGINT)) AS n_pairs FROM s GROUP BY source",
+    "staged_roundtrip": f"SELECT {_PART} AS part, CAST(count(*) AS BIGINT) AS rows_read, CAST(count(DISTINCT citing_doi) AS BIGINT) AS citing_works FROM (SELECT {_REST.format("coalesce(cited_id, '')")} AS e, coalesce(citing_doi, '') AS citing_doi FROM merge_rows) x GROUP BY 1",
+    "index_roundtrip": "SELECT CAST(count(DISTINCT lower(id)) AS BIGINT) AS n_ids, min(lower(id)) AS first_id, max(lower(id)) AS last_id FROM id_records WHERE id <> ''",
+    "output_lines": _STAGED + " UNION ALL ".join(f"SELECT '{o}' AS output, CAST(count(*) AS BIGINT) AS n_lines, CAST(coalesce(sum({n}), 0) AS BIGINT) AS sum_counts, CAST(coalesce(sum({n}), 0) AS BIGINT) AS n_listed FROM w WHERE {c}"
+      for o, n, c in [("valid", "citation_count", "is_valid"), ("failed", "citation_count", "NOT is_valid"), *((p, f"{p}_count", f"is_valid AND {p}_count > 0") for p in PROVENANCES)]),
 }

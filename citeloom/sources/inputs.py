@@ -11,6 +11,9 @@ from citeloom.schema import CITATION_ROW
 from citeloom.sources.archives import read_archives
 from citeloom.sources.detect import RegistryInput, WorksInput, detect_registry, detect_works, spark_listing
 
+#: What Spark calls the directory of a partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_works(spark: SparkSession, path: str, kind: WorksInput | None = None) -> DataFrame:
     """(file_name, value): one row per document. An archive's documents are spread over tasks after the scan.
@@ -48,14 +51,15 @@ def read_registry_lines(spark: SparkSession, path: str, kind: RegistryInput | No
 
 def read_staged(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
     """Staged citation rows with part; parts prunes directories before any file is opened."""
-    rows = spark.read.schema(f"{CITATION_ROW}, part string").parquet(path)
+    rows = spark.read.schema(f"{CITATION_ROW}, part string").parquet(path).withColumn("part", F.coalesce("part", F.lit("")))  # Spark writes "" as it writes NULL
     return rows.where(F.col("part").isin(parts)) if parts is not None else rows
 
 
 def staged_parts(spark: SparkSession, path: str) -> list[str]:
     """The directories of staged rows, in order, from their names alone."""
     found = spark_listing(spark)(path)
-    return sorted(unquote(n.removeprefix("part=")) for n in found[1] if n.startswith("part=")) if found else []
+    names = [unquote(n.removeprefix("part=")) for n in found[1] if n.startswith("part=")] if found else []
+    return sorted("" if n == NO_VALUE else n for n in names)
 
 
 def count_rows(spark: SparkSession, path: str) -> int:

@@ -24,7 +24,7 @@ from citeloom.session import materialize, scratch, shared_dir
 from citeloom.sinks.selection import Output, input_stem, log_level, output_paths, parse_outputs
 from citeloom.sinks.writers import rows_per_file, write_staged
 from citeloom.sources.detect import RegistryInput, WorksInput, detect_registry, detect_works
-from citeloom.sources.inputs import count_rows, file_order, read_registry_lines, read_staged, read_works
+from citeloom.sources.inputs import count_rows, file_order, read_registry_lines, read_staged, read_works, staged_parts
 from citeloom.streaming.incremental import ingest, read_ingested, read_manifest, retry_failed
 from tests.conftest import rows
 
@@ -381,6 +381,10 @@ def test_staged_rows(spark, tmp_path):
     write_staged(_rows(spark).select("citing_doi", "ref_index", F.lit("10.48550/arXiv.2403.1").alias("cited_id"), "provenance", "ref_json"), path)
     assert os.listdir(path + "/part=2403") and read_staged(spark, path, ["2403"]).count() == len(ROWS) == count_rows(spark, path)
     assert read_staged(spark, path, ["none"]).count() == 0
+    odd = str(tmp_path / "odd")
+    write_staged(_rows(spark).select("citing_doi", "ref_index", F.element_at(F.array(F.lit(""), F.lit("a:b%/c"), F.lit("10.1/x")), F.pmod(F.xxhash64("ref_json", "citing_doi"), F.lit(3)).cast("int") + 1).alias("cited_id"), "provenance", "ref_json"), odd)
+    parts = staged_parts(spark, odd)
+    assert set(parts) == {r.part for r in read_staged(spark, odd).select("part").distinct().collect()} and sum(read_staged(spark, odd, [p]).count() for p in parts) == len(ROWS)
 
 
 def test_unfinished(spark):
