@@ -82,27 +82,37 @@ class SeedIndex:
 
     def hits(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(position in own, item, position in item) of all windows with a common hash, mask by mask, some at a time."""
+        known, value = own > 0, self.value[own]
         for (n, mask), (h, item, at) in self.tables.items():
-            mine = self.hashes(own, n, mask)
-            first, last = np.searchsorted(h, mine, "left"), np.searchsorted(h, mine, "right")
-            every = np.flatnonzero(last > first)
+            count = max(0, len(own) - n + 1)
+            used = [p for p, use in enumerate(mask) if use == "1"]
+            # only windows whose words that count are all words of items have a hash to look for
+            some = np.flatnonzero(np.logical_and.reduce([known[p : p + count] for p in used]))
+            mine = np.zeros(len(some), np.uint64)
+            for p in used:
+                mine += value[some + p] * self.weight[p]
+            first = np.searchsorted(h, mine, "left")
+            met = np.flatnonzero(h[np.minimum(first, len(h) - 1)] == mine)
+            every, first, last = some[met], first[met], np.searchsorted(h, mine[met], "right")
             # windows in stretches with about HITS pairs: a text of one word repeated meets an item of it at every place
-            ends = np.searchsorted(np.cumsum((last - first)[every]), np.arange(HITS, (last - first)[every].sum() + HITS, HITS), "left") + 1
+            ends = np.searchsorted(np.cumsum(last - first), np.arange(HITS, (last - first).sum() + HITS, HITS), "left") + 1
             start = 0
             for end in np.unique(np.minimum(ends, len(every))).tolist():
-                where, start = every[start:end], end
-                many = (last - first)[where]
-                row = np.repeat(first[where] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                where, one, many = every[start:end], first[start:end], (last - first)[start:end]
+                start = end
+                row = np.repeat(one - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
                 yield np.repeat(where, many), item[row], at[row]
 
 
 def _longest(flags: np.ndarray) -> tuple[int, int]:
     """Start and end of the longest run of true values; the first of equals."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
-    if not len(edge):
-        return 0, 0
-    k = int(np.argmax(edge[1::2] - edge[::2]))
-    return int(edge[2 * k]), int(edge[2 * k + 1])
+    if flags.all():
+        return 0, len(flags)
+    stops = np.flatnonzero(~flags)
+    starts = np.concatenate([[0], stops + 1])
+    sizes = np.concatenate([stops, [len(flags)]]) - starts
+    k = int(sizes.argmax())
+    return int(starts[k]), int(starts[k] + sizes[k])
 
 
 def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int = WINDOW, replaced: int = MAX_REPLACED) -> tuple[int, int, int] | None:
@@ -117,7 +127,7 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int = WINDOW,
     same = item[a:b] == doc[a + shift : b + shift]
     bad = np.concatenate([[0], np.cumsum(~same)])
     start, end = _longest(bad[n:] - bad[:-n] <= (replaced if n > 2 * replaced else 0))
-    if start == end:
+    if start >= end:
         return None
     within = same[start : end + n - 1]
     kept = np.flatnonzero(within)
