@@ -84,14 +84,26 @@ def grouped_citations(citations: DataFrame, page: int = PAGE) -> DataFrame:
         paged = _positions(flagged.where("total IS NOT NULL")).withColumn("page_no", F.floor(F.col("at") / page).cast("int"))
         placed = cold.unionByName(paged.select(cold.columns))
     else:
-        placed = citations.select(*columns, *(F.lit(None).cast("bigint").alias(c) for c in totals), F.lit(0).alias("page_no"))
+        placed = citations.select(*columns, *(F.lit(None).cast("bigint").alias(c) for c in totals))
     entry = F.struct(F.col("rank"), F.col("citing_doi").alias("doi"), "ref_index", "provenance", "ref_json")
-    lists = placed.groupBy("cited_id", "page_no").agg(*(F.max(c).alias(c) for c in totals), F.array_sort(F.collect_list(entry)).alias("l"))
+    # without pages the work alone is the key, by which later joins find the lists in place
+    lists = placed.groupBy("cited_id", *(["page_no"] if hot_rows else [])).agg(*(F.max(c).alias(c) for c in totals), F.array_sort(F.collect_list(entry)).alias("l"))
     out = F.transform("l", lambda c: F.struct(c["doi"].alias("doi"), c["ref_index"].alias("ref_index"), c["provenance"].alias("provenance"), c["ref_json"].alias("ref_json")))
     ranks = F.transform("l", lambda c: c["rank"])
     own = [F.coalesce(by[p], F.size(F.filter(ranks, F.lit(i).eqNullSafe)).cast("bigint")).alias(by[p]) for i, p in enumerate(PROVENANCES)]
     n_pages = F.coalesce(F.ceil(F.col("total") / page), F.lit(1)).cast("int").alias("n_pages")
-    return lists.select("cited_id", "page_no", n_pages, F.coalesce("total", F.size("l").cast("bigint")).alias("citation_count"), *own, out.alias("cited_by"))
+    page_no = F.col("page_no") if hot_rows else F.lit(0).alias("page_no")
+    return lists.select("cited_id", page_no, n_pages, F.coalesce("total", F.size("l").cast("bigint")).alias("citation_count"), *own, out.alias("cited_by"))
+
+
+def with_work_flags(grouped: DataFrame, works: DataFrame, page: int = PAGE) -> DataFrame:
+    """grouped_citations, made with the same page, with is_valid of works (cited_id, citation_count, is_valid).
+
+    Flags are repeated for each page and joined on work and page, by which the lists lie already: only flags are shuffled.
+    """
+    last = F.greatest(F.ceil(F.col("citation_count") / page).cast("int") - 1, F.lit(0))
+    flags = works.select("cited_id", F.explode(F.sequence(F.lit(0), last)).alias("page_no"), "is_valid")
+    return grouped.join(flags, ["cited_id", "page_no"])
 
 
 def of_provenance(grouped: DataFrame, provenance: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.operators.coverage import compare_summary, verify_contained, verify_events, verify_referenced_works, verify_references
 from citeloom.operators.extraction import citations_of, document_references, reference_counters
-from citeloom.operators.grouping import dedup_citations, grouped_citations, work_counts
+from citeloom.operators.grouping import dedup_citations, grouped_citations, with_work_flags, work_counts
 from citeloom.operators.registry import registry_ids, with_validity
 from citeloom.operators.statistics import aggregation_stats
 from citeloom.plans.progress import Progress, read_json, write_json
@@ -47,9 +47,9 @@ def aggregate(staged: DataFrame, index: DataFrame | None, outputs: dict[Output,
     """Write the outputs of staged rows; the counters."""
     with scratch(staged.sparkSession):
         citations = materialize(dedup_citations(staged), "citations")
-        works = with_validity(work_counts(citations), index)
+        works = materialize(with_validity(work_counts(citations), index), "work-counts")
         if outputs:
-            write_records(materialize(with_validity(grouped_citations(citations), index), "works"), outputs)
+            write_records(materialize(with_work_flags(grouped_citations(citations), works), "works"), outputs)
         by_provenance = any(o.value in ("publisher", "crossref", "mined") for o in outputs)
         return aggregation_stats(works, by_provenance).first().asDict()
 

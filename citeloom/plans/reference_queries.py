@@ -14,7 +14,7 @@ from citeloom.functions.jsonvalue import with_variant
 from citeloom.functions.references import FIELDS, PROVENANCES, provenance_allowed, provenance_rank, search_text
 from citeloom.operators import coverage
 from citeloom.operators.extraction import candidate_citations, citation_rows, explode_items, explode_references, extraction_stats, match_references, parse_files
-from citeloom.operators.grouping import dedup_citations, drop_exact_self, grouped_citations, of_provenance, record_json, staged_defaults, work_counts
+from citeloom.operators.grouping import dedup_citations, drop_exact_self, grouped_citations, of_provenance, record_json, staged_defaults, with_work_flags, work_counts
 from citeloom.operators.registry import failed_works, index_of, unfinished, valid_works, with_validity
 from citeloom.operators.statistics import aggregation_stats, partition_stats
 from citeloom.plans.pipeline import compare
@@ -54,6 +54,12 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_of(table(spark, sf_dir, "id_records"), "id")
 
 
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each work's pages of citations, and whether the registry knows it."""
+    citations = _citations(spark, sf_dir)
+    return with_work_flags(grouped_citations(citations), with_validity(work_counts(citations), _index(spark, sf_dir)))
+
+
 def parse_file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents fail as a whole."""
     return parse_files(_files(spark, sf_dir)).select("file_name", "parse_failed")
@@ -183,8 +189,7 @@ def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _output(provenance: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        grouped = with_validity(grouped_citations(_citations(spark, sf_dir)), _index(spark, sf_dir)).where("is_valid")
-        return of_provenance(grouped, provenance).select("cited_id", "page_no", "citation_count")
+        return of_provenance(_flagged(spark, sf_dir).where("is_valid"), provenance).select("cited_id", "page_no", "citation_count")
 
     query.__doc__ = f"Valid works with their {provenance} citations."
     return query
@@ -223,6 +228,11 @@ def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(F.variant_get("v", "$.doi", "string").alias("doi"), F.variant_get("v", "$.citation_count", "bigint").alias("citation_count"), F.size(entries).cast("bigint").alias("n_listed"), F.variant_get("v", "$.cited_by[0].doi", "string").alias("first_citing"), objects.alias("n_objects"))
 
 
+def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows 5,000 to 5,999 of the staged rows in the order of their numbers: a slice, as chunked readers take it."""
+    return table(spark, sf_dir, "merge_rows").orderBy("row_no").offset(5000).limit(1000).select("row_no", "segment", "cited_id")
+
+
 def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A value out of a JSON column, by type of event."""
     k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
@@ -313,7 +323,7 @@ def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def output_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five outputs written as JSON lines and read back: lines of each, sum of their counts, and listed citations."""
-    works = materialize(with_validity(grouped_citations(_citations(spark, sf_dir)), _index(spark, sf_dir)), "output-works")
+    works = materialize(_flagged(spark, sf_dir), "output-works")
     paths = output_paths(parse_outputs([]), scratch_path(spark, "outputs"), "works")
     write_records(works, paths)
     each = [spark.read.schema("doi string, citation_count bigint, cited_by array<struct<doi:string>>").json(p).select(F.lit(o.value).alias("output"), "citation_count", F.size("cited_by").alias("listed")) for o, p in paths.items()]
@@ -357,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "resume_anti_join": resume_files,
     "union_segments": union_segments,
     "jsonl_records": jsonl_records,
+    "row_slice": row_slice,
     "json_events": json_events,
     "verify_references": verify_references,
     "verify_referenced_works": verify_referenced_works,

@@ -147,6 +147,7 @@ ORACLE = {
     "resume_anti_join": _FILES + "SELECT file_name FROM status WHERE parse_failed",
     "union_segments": "SELECT provenance, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(ref_index) AS BIGINT) AS sum_ref_index FROM (SELECT provenance, ref_index FROM merge_rows UNION ALL SELECT provenance, ref_index FROM partition_rows) x GROUP BY provenance",
     "jsonl_records": _STAGED + "SELECT cited_id AS doi, CAST(count(*) AS BIGINT) AS citation_count, CAST(count(*) AS BIGINT) AS n_listed, first(citing_doi ORDER BY rank, citing_doi, ref_index) AS first_citing, CAST(count(*) FILTER (CASE WHEN json_valid(ref_json) THEN json_type(CAST(ref_json AS JSON)) = 'OBJECT' ELSE false END) AS BIGINT) AS n_objects FROM c GROUP BY cited_id",
+    "row_slice": "SELECT row_no, segment, cited_id FROM merge_rows ORDER BY row_no LIMIT 1000 OFFSET 5000",
     "json_events": "SELECT event_type, CAST(count(k) AS BIGINT) AS n_values, CAST(sum(k) AS BIGINT) AS sum_values FROM (SELECT event_type, TRY_CAST(json_extract_string(CASE WHEN json_valid(props) THEN CAST(props AS JSON) END, '$.k') AS BIGINT) AS k FROM events) x GROUP BY event_type",
     "verify_references": _COVERAGE + f"SELECT {_PAIR}, crossref_found, crossref_has_references, crossref_structured_doi_match, crossref_unstructured_match, crossref_reference_key FROM v1",
     "verify_referenced_works": _COVERAGE + f"SELECT {_PAIR}, openalex_citing_found, openalex_arxiv_in_refs, openalex_arxiv_work_id, CASE WHEN NOT openalex_citing_found THEN 'citing_not_found' END AS openalex_error FROM v2",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from citeloom import cli
 from citeloom.functions.jsonvalue import with_variant
 from citeloom.operators.extraction import candidate_citations, citations_of, document_references, document_status, explode_items, explode_references, extract_citations, extraction_stats, match_references, parse_files, reference_counters
-from citeloom.operators.grouping import dedup_citations, grouped_citations, of_provenance, record_json, work_counts
+from citeloom.operators.grouping import dedup_citations, grouped_citations, of_provenance, record_json, with_work_flags, work_counts
 from citeloom.operators.registry import failed_works, index_of, registry_ids, registry_stats, unfinished, valid_works, with_validity
 from citeloom.operators.statistics import aggregation_stats
 from citeloom.plans import pipeline
@@ -134,6 +134,13 @@ def test_pages_are_in_order_and_say_what_they_are(spark, monkeypatch):
     assert [g for g in got if g[0] == "cold"] == [("cold", None, None, 1)] and [g for g in got if g[0] == "warm"] == [("warm", 0, 2, 61), ("warm", 1, 2, 61)]
 
 
+def test_flags_meet_every_page(spark):
+    citations = dedup_citations(_rows(spark, [(f"c{i}", 0, "hot", "mined", "null") for i in range(130)] + [("x", 0, "cold", "mined", "null"), ("y", 0, None, "mined", "null")]))
+    works = with_validity(work_counts(citations), spark.createDataFrame([("hot",)], "id string"))
+    got = with_work_flags(grouped_citations(citations, page=60), works, page=60)
+    assert sorted((r.cited_id, r.page_no, r.is_valid, len(r.cited_by)) for r in got.collect()) == [("", 0, False, 1), ("cold", 0, False, 1), ("hot", 0, True, 60), ("hot", 1, True, 60), ("hot", 2, True, 10)]
+
+
 def test_provenance_counts_of_paged_works_are_the_works(spark):
     kinds = ["mined", "publisher", "mined", "crossref", "other"]
     frame = _rows(spark, [(f"c{i}", i % 3, "hot", kinds[i % 5], "null") for i in range(500)] + [("p", 9, "hot", "crossref", "null")] + [("x", 0, "cold", "mined", "null")])
