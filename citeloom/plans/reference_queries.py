@@ -50,13 +50,18 @@ def _citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_citations(_staged(spark, sf_dir))
 
 
+def _kept_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written down as in a run: what groups them reads them several times."""
+    return materialize(_citations(spark, sf_dir), "citations")
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_of(table(spark, sf_dir, "id_records"), "id")
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each work's pages of citations, and whether the registry knows it."""
-    citations = _citations(spark, sf_dir)
+    citations = _kept_citations(spark, sf_dir)
     return with_work_flags(grouped_citations(citations), with_validity(work_counts(citations), _index(spark, sf_dir)))
 
 
@@ -157,7 +162,7 @@ def cited_work_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cited_by_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each work's citations in order, as one text a page."""
     entries = F.transform("cited_by", lambda c: F.concat_ws("|", c["provenance"], c["doi"], c["ref_index"].cast("string")))
-    return grouped_citations(_citations(spark, sf_dir)).select("cited_id", "page_no", "citation_count", F.array_join(entries, ";").alias("cited_by"))
+    return grouped_citations(_kept_citations(spark, sf_dir)).select("cited_id", "page_no", "citation_count", F.array_join(entries, ";").alias("cited_by"))
 
 
 #: Citations of a page in paged_records: small, so that many works have several pages.
@@ -167,7 +172,7 @@ SMALL_PAGE = 50
 def paged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of works in pages of 50: the work's totals, and the page's first and last citation and their number."""
     entry = lambda c: F.concat_ws("|", c["provenance"], c["doi"], c["ref_index"].cast("string"))
-    grouped = grouped_citations(_citations(spark, sf_dir), SMALL_PAGE)
+    grouped = grouped_citations(_kept_citations(spark, sf_dir), SMALL_PAGE)
     first, last = entry(F.element_at("cited_by", 1)).alias("first_citation"), entry(F.element_at("cited_by", -1)).alias("last_citation")
     return grouped.select("cited_id", "page_no", "n_pages", "citation_count", *(f"{p}_count" for p in PROVENANCES), F.size("cited_by").cast("bigint").alias("n_listed"), first, last)
 
@@ -221,7 +226,7 @@ def union_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output lines, read back: DOI, count, listed citations, first citing DOI, and listed payloads that are objects."""
-    lines = grouped_citations(_citations(spark, sf_dir)).select(record_json(F.col("cited_id"), F.col("citation_count"), F.col("cited_by")).alias("line"))
+    lines = grouped_citations(_kept_citations(spark, sf_dir)).select(record_json(F.col("cited_id"), F.col("citation_count"), F.col("cited_by")).alias("line"))
     v = lines.select(F.parse_json("line").alias("v"))
     entries = F.try_variant_get("v", "$.cited_by", "array<variant>")
     objects = F.size(F.filter(entries, lambda e: F.try_variant_get(e, "$.reference", "map<string,variant>").isNotNull())).cast("bigint")
